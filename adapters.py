@@ -13,7 +13,7 @@ from tidemart import schemas
 
 DAY = "2021-03-15 00:00:00"
 DAY_SECONDS = 1615766400  # the same in epoch seconds
-FAR = "2021-03-20"
+FAR = "2100-01-01"  # 4102444800 s
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _text(seconds: Column) -> Column:
-    return F.date_format(F.timestamp_seconds(seconds), "yyyy-MM-dd HH:mm:ss")
+    return F.timestamp_seconds(seconds).cast("string")
 
 
 def _placed(key: str) -> Column:
@@ -80,7 +80,8 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.to_json(F.struct("common", "page", "displays", "start", "ts"))
     value = (F.when(F.col("seq") % 50 == 7, F.substring(whole, 1, 40))
              .when(F.col("seq") % 50 == 9, F.col("seq").cast("string")).otherwise(whole))
-    return log_rows(spark, sf_dir).select(value.alias("value"), "seq")
+    # explode, so that the text is built once and not again in every filter on it.
+    return log_rows(spark, sf_dir).select(F.explode(F.array(value)).alias("value"), "seq")
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,7 +187,7 @@ def keyword_stats_udtf(spark, d):
 def keyword_stats_dictionary(spark, d):
     search = keyword_ops.search_rows(shop.search_log(spark, d))
     return keyword_ops.keyword_stats(search, "1 day", dictionary=shop.dictionary(spark, d),
-                                     longest=6)
+                                     longest=6, shortest=3)
 
 
 def search_rows(spark, d):
@@ -202,7 +202,7 @@ def split_words_query(spark, d):
 
 def dictionary_words_query(spark, d):
     return dictionary_words(shop.table(spark, d, "documents").select("lang", "text"), "text",
-                            shop.dictionary(spark, d), longest=6)
+                            shop.dictionary(spark, d), longest=6, shortest=3)
 
 
 # --- logs and visits ------------------------------------------------------------------
@@ -354,30 +354,31 @@ def stream_of(spark: SparkSession, d: str, name: str) -> DataFrame:
             .parquet(d))
 
 
-def run_stream(stream: DataFrame, name: str) -> DataFrame:
-    """Drain a stream into parquet below the shared folder, and read that."""
-    spark = stream.sparkSession
-    folder = shared_dir(spark)
+def drain(stream: DataFrame, name: str) -> str:
+    """Run a stream over what is there into parquet below the shared folder."""
+    folder = shared_dir(stream.sparkSession)
     query = (stream.writeStream.outputMode("append").queryName(name).format("parquet")
              .option("path", f"{folder}/rows").option("checkpointLocation", f"{folder}/checkpoint")
              .trigger(availableNow=True).start())
     query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.schema(stream.schema).parquet(f"{folder}/rows")
+    return f"{folder}/rows"
+
+
+def run_stream(stream: DataFrame, name: str) -> DataFrame:
+    return stream.sparkSession.read.schema(stream.schema).parquet(drain(stream, name))
 
 
-def later(stream: DataFrame, key: str, *times: str) -> DataFrame:
+def later(stream: DataFrame, key: str, *times: str, at: int = 0) -> DataFrame:
     """Add one row of a far later day, which closes all windows before it.
 
-    Windows on a stream close when the watermark passes them; the row of key 0 is repeated
-    with its times moved ahead.
+    Windows on a stream close when the watermark passes them; the row whose key is `at` is
+    repeated with its times moved ahead.
     """
     far = [F.when(F.col("_far"), F.lit(f"{shop.FAR} 00:00:00")).otherwise(F.col(c)).alias(c)
            if stream.schema[c].dataType == T.StringType()
            else F.when(F.col("_far"), F.lit(4102444800000)).otherwise(F.col(c)).alias(c)
            for c in times]
-    copies = F.when(F.col(key) == 0, F.array(F.lit(False), F.lit(True))).otherwise(
+    copies = F.when(F.col(key) == at, F.array(F.lit(False), F.lit(True))).otherwise(
         F.array(F.lit(False)))
     marked = stream.withColumn("_far", F.explode(copies))
     return marked.select(*[dict(zip(times, far)).get(c, F.col(c)) for c in stream.columns])
@@ -391,7 +392,7 @@ def stream_orders(spark, d):
 
 def stream_pages(spark, d):
     rows = shop.log_rows_of(stream_of(spark, d, "events")).where("start IS NULL").drop("start")
-    return later(rows, "seq", "ts")
+    return later(rows, "seq", "ts", at=1)
 
 
 def stream_order_join(spark, d):
@@ -400,9 +401,11 @@ def stream_order_join(spark, d):
 
 
 def stream_province_stats(spark, d):
+    """Two jobs in a row: the join writes its topic, the statistics read it."""
     wide = dims.join_province(orders.join_order_details(*stream_orders(spark, d), salts=8),
                               shop.provinces(spark, d))
-    return run_stream(province_stats(wide, view="order_wide_stream"), "stream_province_stats")
+    topic = spark.readStream.schema(wide.schema).parquet(drain(wide, "stream_order_wide"))
+    return run_stream(province_stats(topic, view="order_wide_stream"), "stream_province_stats")
 
 
 def stream_unique_visitor(spark, d):

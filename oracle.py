@@ -73,7 +73,7 @@ CTE = {
         p.user_id AS p_user_id, p.total_amount AS p_total_amount, w.*
         FROM payment p JOIN {source} w ON p.order_id = w.order_id
         AND w.at_time BETWEEN p.at_time - INTERVAL 15 MINUTE AND p.at_time""",
-    "logrow": """SELECT event_id AS seq, epoch_ms(ts) AS ts, make_timestamp(epoch_ms(ts) * 1000) AS at_time,
+    "logrow": """SELECT event_id AS seq, epoch_us(ts) // 1000 AS ts, make_timestamp(epoch_us(ts) // 1000 * 1000) AS at_time,
         (user_id % 7 + 110000)::VARCHAR AS ar, 'ch_' || (user_id % 3) AS ch,
         (event_id % 2)::VARCHAR AS is_new, 'mid_' || user_id AS mid, 'v' || (event_id % 3) AS vc,
         floor(value * 100)::BIGINT AS during_time, json_extract_string(props, '$.k') AS item,

@@ -20,27 +20,26 @@ def is_json_object(value: str = "value") -> Column:
     return F.coalesce(one & F.ltrim(text).startswith("{"), F.lit(False))
 
 
-def parse_object(schema: T.StructType, value: str = "value") -> Column:
-    """JSON object text to a struct, with text and numbers turned into each other as needed.
+def parse_topic(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """JSON objects to typed rows, text and numbers turned into each other as needed.
+
+    Other columns of the source (topic, seq) stay. from_json reads the text once and is enough
+    for well-typed rows. Where it reports a misfit (say a number written as text), the row is
+    read again as a variant, whose cast converts field by field and gives null only for the
+    field that cannot be converted.
 
-    from_json reads the text once and is enough for well-typed rows. Where it reports a
-    misfit (say a number written as text), the row is read again as a variant, whose cast
-    converts field by field and gives null only for the field that cannot be converted.
+    The row is unpacked by `inline`, and not by a projection, because the optimizer copies what
+    a projection computes into every later filter on it, and each copy would read the text again.
     """
+    rest = [c for c in lines.columns if c != value]
     strict = F.from_json(
         F.col(value), T.StructType([*schema.fields, T.StructField(MISFIT, T.StringType())]),
         {"columnNameOfCorruptRecord": MISFIT, "allowSingleQuotes": "false"})
-    typed = F.struct(*[strict[f.name].alias(f.name) for f in schema.fields])
     lenient = F.try_variant_get(F.try_parse_json(F.col(value)), "$", schema.simpleString())
-    return F.when(strict[MISFIT].isNull(), typed).otherwise(lenient)
-
-
-def parse_topic(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
-    """Rows of a typed topic; other columns of the source (topic, seq) stay."""
-    rest = [c for c in lines.columns if c != value]
-    return (lines.where(F.col(value).isNotNull())
-            .select(*rest, parse_object(schema, value).alias("row"))
-            .select(*rest, "row.*"))
+    read = lines.where(F.col(value).isNotNull()).select(*rest, value, strict.alias("_strict"))
+    typed = F.struct(*[F.col(f"_strict.{name}") for name in schema.names])
+    row = F.when(F.col(f"_strict.{MISFIT}").isNull(), typed).otherwise(lenient)
+    return read.select(*rest, F.inline(F.array(row)))
 
 
 def to_topic(df: DataFrame, *columns: str) -> DataFrame:

@@ -26,8 +26,8 @@ def split_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     return df.select(*rest, F.explode(words(F.col(text))).alias(word))
 
 
-def _cuts(runs: DataFrame, run: str, longest: int, word: str) -> DataFrame:
-    """Every substring of up to `longest` letters of every run.
+def _cuts(runs: DataFrame, run: str, shortest: int, longest: int, word: str) -> DataFrame:
+    """Every substring of `shortest` to `longest` letters of every run.
 
     A run is first cut into pieces that overlap by `longest - 1` letters, so the work stays
     in proportion to its length even for a run that is a whole book.
@@ -41,25 +41,26 @@ def _cuts(runs: DataFrame, run: str, longest: int, word: str) -> DataFrame:
         F.substring(F.col(run), F.col("at") * PIECE + 1, F.lit(PIECE + longest - 1)).alias("piece"))
     starts = pieces.select(*rest, "piece",
                            F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("start"))
-    lengths = F.sequence(F.lit(1), F.least(F.lit(longest),
-                                           F.length("piece") - F.col("start") + 1))
+    room = F.length("piece") - F.col("start") + 1
+    starts = starts.where(room >= shortest)
+    lengths = F.sequence(F.lit(shortest), F.least(F.lit(longest), room))
     return starts.select(*rest, F.explode(F.transform(
         lengths, lambda n: F.substring(F.col("piece"), F.col("start"), n))).alias(word))
 
 
 def dictionary_matches(df: DataFrame, text: str, dictionary: DataFrame, longest: int,
-                       word: str = "word") -> DataFrame:
+                       shortest: int = 1, word: str = "word") -> DataFrame:
     """One row per place where a dictionary word stands in a text; no state, so fit for streams.
 
     For text written without spaces. `dictionary` has one column named as `word`; `longest`
-    is the length of its longest entry. Words inside other words are found as well.
+    and `shortest` are the lengths of its longest and shortest entry. Words inside other words are found as well.
     """
-    cuts = _cuts(split_words(df, text, "run"), "run", longest, word)
+    cuts = _cuts(split_words(df, text, "run"), "run", shortest, longest, word)
     return cuts.join(dictionary.select(word).distinct(), word, "left_semi")
 
 
 def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, longest: int,
-                     word: str = "word", count: str = "ct") -> DataFrame:
+                     shortest: int = 1, word: str = "word", count: str = "ct") -> DataFrame:
     """Number of places of every dictionary word, per group of the other columns.
 
     Equal runs of letters are counted before they are cut, so each distinct run is cut only
@@ -68,7 +69,7 @@ def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, longest: i
     rest = [c for c in df.columns if c != text]
     runs = (split_words(df, text, "run").groupBy(*rest, "run")
             .agg(F.count(F.lit(1)).alias("copies")))
-    counted = (_cuts(runs, "run", longest, word).groupBy(*rest, word)
+    counted = (_cuts(runs, "run", shortest, longest, word).groupBy(*rest, word)
                .agg(F.sum("copies").alias(count)))
     return counted.join(dictionary.select(word).distinct(), word, "left_semi")
 

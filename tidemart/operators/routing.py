@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemart import codes, schemas
-from tidemart.functions.json_rows import is_json_object, parse_object
+from tidemart.functions.json_rows import is_json_object, parse_topic
 
 
 def parse_changes(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
@@ -17,9 +17,9 @@ def parse_changes(lines: DataFrame, observation: Observation | None = None) -> D
     if observation is not None:
         lines = lines.observe(observation, F.count_if(~is_json_object()).alias("dropped"))
     place = F.col("seq") if "seq" in lines.columns else F.lit(None).cast("bigint")
-    rows = lines.where(is_json_object()).select(
-        parse_object(schemas.CHANGE).alias("row"), place.alias("place"))
-    return rows.select("row.*", "place").withColumn("seq", F.coalesce("seq", "place")).drop("place")
+    rows = parse_topic(lines.where(is_json_object()).select("value", place.alias("place")),
+                       schemas.CHANGE)
+    return rows.withColumn("seq", F.coalesce("seq", "place")).drop("place")
 
 
 def nonempty_changes(changes: DataFrame) -> DataFrame:
