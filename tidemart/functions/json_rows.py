@@ -13,7 +13,7 @@ def is_json_object(value: str = "value") -> Column:
     """True when the whole text is one JSON object. Only syntax counts, not field types.
 
     Between brackets, a lone object is an array of length one; trailing text, a second
-    object or an open brace is not.
+    object or an open brace is not. Names and texts may stand in single quotes.
     """
     text = F.col(value)
     one = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
@@ -34,7 +34,7 @@ def parse_topic(lines: DataFrame, schema: T.StructType, value: str = "value") ->
     rest = [c for c in lines.columns if c != value]
     strict = F.from_json(
         F.col(value), T.StructType([*schema.fields, T.StructField(MISFIT, T.StringType())]),
-        {"columnNameOfCorruptRecord": MISFIT, "allowSingleQuotes": "false"})
+        {"columnNameOfCorruptRecord": MISFIT})
     lenient = F.try_variant_get(F.try_parse_json(F.col(value)), "$", schema.simpleString())
     read = lines.where(F.col(value).isNotNull()).select(*rest, value, strict.alias("_strict"))
     typed = F.struct(*[F.col(f"_strict.{name}") for name in schema.names])

@@ -100,10 +100,8 @@ def window_product_stats(measures: DataFrame, width: str = "10 seconds",
     sums += [F.min("ts").alias("ts")]
     ids = list(ORDER_IDS.values())
     per_order = rows.groupBy("window", "sku_id", *ids).agg(*sums)
-    again = per_order.withColumn("at", F.window_time("window")).drop("window")
-    again = again.withColumn("window", F.window("at", width))
     counts = [F.count(c).alias(name) for name, c in ORDER_IDS.items()]
-    stats = again.groupBy("window", "sku_id").agg(*sums, *counts)
+    stats = per_order.groupBy("window", "sku_id").agg(*sums, *counts)
     return stats.select(*window_text(), "sku_id", *COUNTS, *AMOUNTS, *ORDER_IDS, "ts")
 
 

@@ -35,20 +35,14 @@ def province_stats(wide: DataFrame, width: str = "10 seconds", delay: str = "0 s
             SELECT window, {PROVINCE}, order_id,
                    count(*) AS details, CAST(sum(amount) AS {schemas.MONEY}) AS amount
             FROM windowed
-            GROUP BY window, {PROVINCE}, order_id),
-        placed AS (
-            SELECT window_time(window) AS at, {PROVINCE}, order_id, details, amount
-            FROM per_order),
-        rewindowed AS (
-            SELECT window(at, '{width}') AS window, {PROVINCE}, order_id, details, amount
-            FROM placed)
+            GROUP BY window, {PROVINCE}, order_id)
         SELECT date_format(window.start, 'yyyy-MM-dd HH:mm:ss') AS stt,
                date_format(window.end, 'yyyy-MM-dd HH:mm:ss') AS edt,
                {PROVINCE},
                CAST(sum(amount) AS {schemas.MONEY}) AS order_amount,
                count(order_id) AS order_count,
                sum(details) AS detail_count
-        FROM rewindowed
+        FROM per_order
         GROUP BY window, {PROVINCE}""")
 
 
