@@ -17,12 +17,17 @@ def page_log_table(pages: DataFrame, delay: str = "0 seconds", view: str = "page
 
 
 def search_rows(pages: DataFrame, delay: str = "0 seconds", view: str = "page_log") -> DataFrame:
-    """Texts that were searched for."""
+    """Texts that were searched for.
+
+    The filter mentions rowtime, which keeps it above the watermark on a stream: every page
+    moves the time on, also one that is no search.
+    """
     table = page_log_table(pages, delay, view)
     return pages.sparkSession.sql(f"""
         SELECT page['item'] AS fullWords, rowtime
         FROM {table}
-        WHERE page['last_page_id'] = 'search' AND page['item'] IS NOT NULL""")
+        WHERE CASE WHEN rowtime IS NOT NULL
+              THEN page['last_page_id'] = 'search' AND page['item'] IS NOT NULL END""")
 
 
 def search_words(search: DataFrame, splitter: str | None = None,

@@ -29,9 +29,9 @@ LOG = struct(
 LOG_MAPS = struct(
     common=_TEXTS, page=_TEXTS, ts=_LONG)
 
-# Value of a change topic as the capture tool writes it.
+# Value of a change topic as the capture tool writes it; seq is optional.
 CHANGE_ENVELOPE = struct(
-    op=_TEXT, before=_TEXTS, after=_TEXTS)
+    op=_TEXT, before=_TEXTS, after=_TEXTS, seq=_LONG)
 
 # A normalised change.
 CHANGE = struct(

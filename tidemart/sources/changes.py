@@ -13,8 +13,13 @@ OPERATIONS = {"c": "insert", "create": "insert", "u": "update", "d": "delete", "
 
 
 def read_envelopes(records: DataFrame) -> DataFrame:
-    """Capture-tool records (topic, value, seq) to op, before and after."""
-    return parse_topic(records.where(is_json_object()), schemas.CHANGE_ENVELOPE)
+    """Capture-tool records (topic, value, seq) to op, before, after and seq.
+
+    A record's own seq goes before its place in the topic.
+    """
+    placed = records.where(is_json_object()).withColumnRenamed("seq", "place")
+    rows = parse_topic(placed, schemas.CHANGE_ENVELOPE)
+    return rows.withColumn("seq", F.coalesce("seq", "place")).drop("place")
 
 
 def normalise_changes(envelopes: DataFrame) -> DataFrame:

@@ -30,7 +30,11 @@ class Topics:
         return f"{self.root.rstrip('/')}/topic={topic}"
 
     def read(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
-        """Stream of (value, seq): the text and its place in the topic."""
+        """Stream of (value, seq): the text and its place in the topic.
+
+        Kafka numbers every row. Of a file only its time is known, so its rows share a place;
+        records whose order matters should bring a number of their own.
+        """
         if self.kafka:
             options = {**self.kafka, "subscribe": topic, "startingOffsets": self.starting}
             if group:
@@ -44,7 +48,7 @@ class Topics:
         if self.files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", self.files_per_trigger)
         return reader.text(self.folder(topic)).select(
-            "value", F.monotonically_increasing_id().alias("seq"))
+            "value", F.unix_millis("_metadata.file_modification_time").alias("seq"))
 
     def write(self, lines: DataFrame, topic: str) -> DataStreamWriter:
         """Writer of a stream with a `value` column; exactly once for files."""

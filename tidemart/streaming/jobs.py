@@ -56,7 +56,10 @@ class Warehouse:
     """Settings shared by the jobs, and one method per job.
 
     `salts` spreads the details of one order over that many state partitions in the
-    stream-stream joins. `once` drains the topics and stops; otherwise queries keep running.
+    stream-stream joins. `lag` is how far a topic may run behind others that feed the same
+    summary: a row reaches it through one to three micro-batches of other jobs, and one that comes
+    after the watermark is lost. `once` drains the topics and stops; otherwise queries keep
+    running.
     """
 
     spark: SparkSession
@@ -67,6 +70,7 @@ class Warehouse:
     salts: int = 8
     width: str = "10 seconds"
     timeout: str = "10 seconds"
+    lag: str = "5 minutes"
     day_start: str = "0 hours"
     on_delete: str = "ignore"
     as_of: str | None = None
@@ -111,13 +115,15 @@ class Warehouse:
         visits_seen = FirstVisits(self.spark, f"{self.state.rstrip('/')}/first_visits")
 
         def work(batch: DataFrame, batch_id: int) -> None:
-            batch = batch.persist()
+            # Rows of one file share a place; the row number tells them apart.
+            batch = batch.withColumn("row", F.monotonically_increasing_id()).persist()
             try:
-                logs = visits_seen.repair(log_ops.parse_logs(batch), batch_id).persist()
+                logs = visits_seen.repair(log_ops.parse_logs(batch), batch_id,
+                                          ("ts", "seq", "row")).persist()
                 pages = log_ops.page_logs(logs)
                 branches = {
-                    "page": to_topic(pages.drop("seq")),
-                    "start": to_topic(log_ops.start_logs(logs).drop("seq")),
+                    "page": to_topic(pages.drop("seq", "row")),
+                    "start": to_topic(log_ops.start_logs(logs).drop("seq", "row")),
                     "display": log_ops.display_logs(pages).select(
                         F.to_json("display").alias("value")),
                     "dirty": log_ops.dirty_lines(batch).select("value")}
@@ -184,7 +190,7 @@ class Warehouse:
     def visitor_stats(self) -> StreamingQuery:
         stats = visitor_ops.visitor_stats(
             self._rows("page", schemas.LOG), self._rows("unique_visit", schemas.LOG),
-            self._rows("user_jump", schemas.LOG), self.width)
+            self._rows("user_jump", schemas.LOG), self.width, self.lag)
         return self._to_summary(stats, "visitor", schemas.VISITOR_STATS_COLUMNS, "visitor_stats")
 
     def product_stats(self) -> StreamingQuery:
@@ -193,7 +199,7 @@ class Warehouse:
             self._rows("cart", schemas.CART_INFO), self._rows("order_wide", schemas.ORDER_WIDE),
             self._rows("payment_wide", schemas.PAYMENT_WIDE),
             self._rows("refund", schemas.REFUND_INFO), self._rows("comment", schemas.COMMENT_INFO))
-        stats = product_ops.window_product_stats(measures, self.width)
+        stats = product_ops.window_product_stats(measures, self.width, self.lag)
 
         def work(batch: DataFrame, batch_id: int) -> None:
             rows = product_ops.enrich_product_stats(batch, self._products())
@@ -201,7 +207,8 @@ class Warehouse:
         return self._start(each_batch(stats, work), "product_stats")
 
     def province_stats(self) -> StreamingQuery:
-        stats = province_ops.province_stats(self._rows("order_wide", schemas.ORDER_WIDE), self.width)
+        stats = province_ops.province_stats(self._rows("order_wide", schemas.ORDER_WIDE), self.width,
+                                            self.lag)
         columns = schemas.PROVINCE_STATS_COLUMNS
 
         def work(batch: DataFrame, batch_id: int) -> None:
@@ -210,7 +217,7 @@ class Warehouse:
         return self._start(each_batch(stats, work), "province_stats")
 
     def keyword_stats(self, dictionary: DataFrame | None = None, longest: int = 8) -> StreamingQuery:
-        search = keyword_ops.search_rows(self._rows("page", schemas.LOG_MAPS))
+        search = keyword_ops.search_rows(self._rows("page", schemas.LOG_MAPS), self.lag)
         stats = keyword_ops.keyword_stats(search, self.width, dictionary=dictionary,
                                           longest=longest)
         columns = schemas.KEYWORD_STATS_COLUMNS
