@@ -396,13 +396,13 @@ def stream_pages(spark, d):
 
 
 def stream_order_join(spark, d):
-    joined = orders.join_order_details(*stream_orders(spark, d), salts=8)
+    joined = orders.join_order_details(*stream_orders(spark, d), salts=4)
     return run_stream(joined, "stream_order_join").where(F.col("create_date") < shop.FAR)
 
 
 def stream_province_stats(spark, d):
     """Two jobs in a row: the join writes its topic, the statistics read it."""
-    wide = dims.join_province(orders.join_order_details(*stream_orders(spark, d), salts=8),
+    wide = dims.join_province(orders.join_order_details(*stream_orders(spark, d), salts=4),
                               shop.provinces(spark, d))
     topic = spark.readStream.schema(wide.schema).parquet(drain(wide, "stream_order_wide"))
     return run_stream(province_stats(topic, view="order_wide_stream"), "stream_province_stats")

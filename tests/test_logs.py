@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from rows import page, pages, values
@@ -44,10 +45,12 @@ def test_fields_are_converted_one_by_one(spark):
     assert json.loads(rows["d"].start) == {"entry": "icon"}
 
 
-def test_branches(spark):
+@pytest.mark.parametrize("saved", [False, True])
+def test_branches(spark, folder, saved):
     display = '{"common":{"mid":"a"},"page":{"page_id":"p1"},"ts":1,' \
               '"displays":[{"item":7,"item_type":"sku_id","pos":2},{"item":"8","page_id":"x"}]}'
-    branches = split_logs(lines(spark, [display, *GOOD, *BAD]))
+    branches = split_logs(lines(spark, [display, *GOOD, *BAD]),
+                          saved=f"{folder}/logs" if saved else None)
     assert branches["page"].count() == 5 and "start" not in branches["page"].columns
     assert [r.common.mid for r in branches["start"].collect()] == ["d"]
     assert branches["dirty"].count() == len(BAD)

@@ -1,0 +1,181 @@
+"""Plans are the ones meant: what is pushed down, pruned, split, and what never appears."""
+
+import os
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+from rows import frame, page, pages
+from tidemart import schemas
+from tidemart.operators import dims, logs, orders, product_stats, routing, visits
+from tidemart.operators.province_stats import province_stats
+from tidemart.plans import batch
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+def plan(df, mode="formatted"):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as they are when no side is small."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(queries()) if not n.startswith("stream_")])
+def test_no_pairing_of_everything(no_broadcast, name):
+    text = plan(queries()[name](no_broadcast, SF_DIR))
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert "BroadcastHashJoin" not in text, "nothing is broadcast unless Spark knows it is small"
+    if name != "keyword_stats_udtf":
+        assert "Python" not in text and "Pandas" not in text
+
+
+@pytest.mark.parametrize("name", ["unique_visitor", "new_visitor_flag", "latest_rules"])
+def test_first_per_key_is_pruned_before_the_shuffle(spark, name):
+    text = plan(queries()[name](spark, SF_DIR), "simple")
+    # Read from the bottom: the first limit stands below the exchange.
+    final, exchange, partial = (text.index("Final"), text.index("Exchange hash"),
+                                text.index("Partial"))
+    assert text.count("WindowGroupLimit") == 2 and final < exchange < partial
+
+
+def test_scans_read_what_they_need(spark):
+    text = plan(queries()["province_stats"](spark, SF_DIR))
+    assert "o_totalprice" not in text and "l_tax" not in text and "l_returnflag" not in text
+    refunds = plan(queries()["join_product"](spark, SF_DIR))
+    assert "EqualTo(l_returnflag,R)" in refunds
+
+
+def test_nested_columns_are_pruned(spark, folder):
+    """Of a stored page log, the visitor statistics read a few leaves of each struct."""
+    wide = pages(spark, [page("m", 1, displays=[{"item": "1"}])])
+    wide.write.parquet(f"{folder}/pages")
+    text = plan(batch.visitor_stats(spark.read.parquet(f"{folder}/pages")))
+    schemas_read = re.findall(r"ReadSchema: (.*)", text)
+    assert len(schemas_read) == 4
+    for schema in schemas_read:
+        assert not re.search(r"displays|md:|os:|uid:|item|page_id:string,?>", schema.replace(
+            "last_page_id", "last")), schema
+
+
+def test_lines_are_parsed_once(spark):
+    """A filter on parsed fields does not copy the parser below itself."""
+    lines = spark.createDataFrame([("{}", 1)], "value string, seq long")
+    text = plan(logs.page_logs(logs.parse_logs(lines)).where("page.page_id = 'x'"), "simple")
+    assert text.count("from_json(") == 1
+
+
+# --- one key with a third of all rows ------------------------------------------------------
+@pytest.fixture
+def small_partitions(no_broadcast):
+    """Skew handling at the size of a test."""
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+            "spark.sql.shuffle.partitions": "16"}
+    old = {k: no_broadcast.conf.get(k, None) for k in conf}
+    for key, value in conf.items():
+        no_broadcast.conf.set(key, value)
+    yield no_broadcast
+    for key, value in old.items():
+        no_broadcast.conf.set(key, value) if value else no_broadcast.conf.unset(key)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def hot_details(spark, rows=30_000):
+    """Details of many orders; order 7 has a third of them."""
+    return spark.range(0, rows, 1, 8).select(
+        "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("order_id"),
+        (F.col("id") % 50).alias("sku_id"), F.lit(1).cast("bigint").alias("sku_num"),
+        F.lit(1).cast("decimal(18,2)").alias("order_price"),
+        F.lit(1).cast("decimal(18,2)").alias("split_total_amount"),
+        F.lit(0).cast("decimal(18,2)").alias("split_activity_amount"),
+        F.lit(0).cast("decimal(18,2)").alias("split_coupon_amount"),
+        F.sha2(F.col("id").cast("string"), 256).alias("sku_name"),
+        F.lit("2021-03-15 12:00:00").alias("create_time"))
+
+
+def many_orders(spark):
+    return frame(spark, schemas.ORDER_INFO, [
+        {"id": i, "user_id": i % 9, "province_id": 1, "create_time": "2021-03-15 12:00:01"}
+        for i in range(500)])
+
+
+def test_hot_order_is_split(small_partitions):
+    joined = orders.join_order_details(many_orders(small_partitions), hot_details(small_partitions))
+    text = final_plan(joined)
+    assert "skew=true" in text
+    assert joined.count() == 30_000
+
+
+def test_hot_dimension_key_is_split(small_partitions):
+    facts = hot_details(small_partitions).withColumn(
+        "user_id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000))
+    users = small_partitions.range(0, 5000).select(
+        F.col("id").cast("string").alias("id"), F.lit("1990-01-01").alias("birthday"),
+        F.lit("F").alias("gender"))
+    joined = dims.join_user(facts, users)
+    assert "skew=true" in final_plan(joined)
+    assert joined.where("user_gender = 'F'").count() == 30_000
+
+
+def hot_pages(spark, rows=30_000):
+    """Pages of many devices, one with a third of them, over ten minutes."""
+    return spark.range(0, rows, 1, 8).select(
+        F.struct(F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 2000).cast("string"))
+                 .alias("mid"), F.lit("1").alias("is_new")).alias("common"),
+        F.struct(F.when(F.col("id") % 2 == 0, "home").alias("last_page_id")).alias("page"),
+        (F.col("id") * 20).alias("ts"), F.col("id").alias("seq"))
+
+
+def largest_share(df, *keys):
+    """Share of the fullest of 16 hash partitions."""
+    sizes = [r[1] for r in df.repartition(16, *keys).groupBy(F.spark_partition_id()).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def test_join_keys_spread_a_hot_device(spark):
+    pages = hot_pages(spark)
+    assert largest_share(pages, "common.mid") > 0.33
+    assert largest_share(pages, "common.mid", "ts", "seq") < 0.1
+    cells = pages.withColumn("cell", F.window(F.timestamp_millis("ts"), "10 seconds"))
+    assert largest_share(cells, "common.mid", "cell") < 0.15
+
+
+def test_hot_device_gives_the_same_jumps(spark):
+    pages = hot_pages(spark, 6_000)
+    jumps = visits.user_jumps(pages, "1 second")
+    pages.createOrReplaceTempView("hot_pages")
+    brute = spark.sql("""SELECT count(*) FROM hot_pages e WHERE e.page.last_page_id IS NULL
+        AND NOT EXISTS (SELECT 1 FROM hot_pages f WHERE f.common.mid = e.common.mid
+            AND f.page.last_page_id IS NOT NULL AND f.ts >= e.ts AND f.ts < e.ts + 1000)""")
+    assert jumps.count() == brute.first()[0] > 0
+
+
+def test_hot_groups_are_combined_before_the_shuffle(spark):
+    """Sums by province and by product aggregate on the map side."""
+    wide = frame(spark, schemas.ORDER_WIDE, [{"order_id": 1, "create_time": "2021-03-15 12:00:00"}])
+    for stats in (province_stats(wide),
+                  product_stats.window_product_stats(product_stats.order_measures(wide))):
+        text = plan(stats, "simple")
+        assert text.count("partial_sum") >= 2 and "partial_count" in text
+
+
+def test_rules_are_joined_not_collected(spark):
+    changes = frame(spark, schemas.CHANGE, [{"table": "t", "type": "insert", "data": {"id": "1"}}])
+    rules = spark.createDataFrame(
+        [("t", "insert", "kafka", "x", "id", None, None)],
+        ", ".join(f"{c} string" for c in schemas.RULE_COLUMNS))
+    assert routing.route(changes, rules).count() == 1

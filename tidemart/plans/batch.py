@@ -15,9 +15,18 @@ from tidemart.operators.payments import join_payments
 from tidemart.operators.visits import unique_visitors, user_jumps
 
 
-def split_logs(lines: DataFrame, order=("ts", "seq")) -> dict[str, DataFrame]:
-    """Raw lines (value, seq) to page, start, display and dirty rows."""
+def split_logs(lines: DataFrame, order=("ts", "seq"),
+               saved: str | None = None) -> dict[str, DataFrame]:
+    """Raw lines (value, seq) to page, start, display and dirty rows.
+
+    The branches share the parsed and repaired rows. With `saved`, a shared folder, those are
+    written there once and the branches read them; without, each branch computes them itself,
+    which is right when only one of them is wanted.
+    """
     logs = log_ops.repair_new_flags(log_ops.parse_logs(lines), order)
+    if saved:
+        logs.write.mode("overwrite").parquet(saved)
+        logs = lines.sparkSession.read.schema(logs.schema).parquet(saved)
     pages = log_ops.page_logs(logs)
     return {"page": pages, "start": log_ops.start_logs(logs),
             "display": log_ops.display_logs(pages), "dirty": log_ops.dirty_lines(lines)}

@@ -67,7 +67,7 @@ class Warehouse:
     dimensions: DimensionStore
     summaries: SummarySink
     state: str
-    salts: int = 8
+    salts: int = 4
     width: str = "10 seconds"
     timeout: str = "10 seconds"
     lag: str = "5 minutes"
