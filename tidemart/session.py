@@ -8,12 +8,14 @@ from pyspark.sql import SparkSession
 
 # Settings that the plans in this package count on. AQE splits skewed join
 # partitions (also where that costs one more shuffle), joins a small side by
-# broadcast only after its size is known, and merges small shuffle partitions.
+# broadcast only after its size is known, hashes instead of sorting where every
+# partition of one side has turned out small, and merges small shuffle partitions.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -26,12 +28,18 @@ STATE_SETTINGS = {
 
 
 def build_session(app: str = "tidemart", master: str | None = None, zone: str = "UTC",
-                  rocksdb: bool = True, **extra: str) -> SparkSession:
+                  rocksdb: bool = True, partitions: int | None = None,
+                  **extra: str) -> SparkSession:
+    """`partitions`: shuffle partitions, some 200 MB each for the largest shuffle. Batch jobs may
+    start with far too many, as AQE merges them; a stream keeps the number it was started with.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
     settings = {**SETTINGS, **(STATE_SETTINGS if rocksdb else {}),
                 "spark.sql.session.timeZone": zone, **extra}
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
