@@ -24,6 +24,14 @@ def _text(seconds: Column) -> Column:
     return F.timestamp_seconds(seconds).cast("string")
 
 
+def _stored(text: Column) -> Column:
+    """A text as a topic would hold it: built once per row.
+
+    A generator, because the optimizer copies plain expressions into every filter above them.
+    """
+    return F.explode(F.array(text))
+
+
 def _placed(key: str) -> Column:
     """Second at which the order with this key was placed."""
     return F.lit(DAY_SECONDS) + (F.col(key) * 7) % 86400
@@ -80,8 +88,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.to_json(F.struct("common", "page", "displays", "start", "ts"))
     value = (F.when(F.col("seq") % 50 == 7, F.substring(whole, 1, 40))
              .when(F.col("seq") % 50 == 9, F.col("seq").cast("string")).otherwise(whole))
-    # explode, so that the text is built once and not again in every filter on it.
-    return log_rows(spark, sf_dir).select(F.explode(F.array(value)).alias("value"), "seq")
+    return log_rows(spark, sf_dir).select(_stored(value).alias("value"), "seq")
 
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +111,7 @@ def order_info_of(orders: DataFrame) -> DataFrame:
         _money(F.lit(0)).alias("coupon_reduce_amount"),
         _money("o_totalprice").alias("original_total_amount"), _money(F.lit(5)).alias("feight_fee"),
         _text(_placed("o_orderkey") + 900).alias("expire_time"),
-        _text(_placed("o_orderkey")).alias("create_time"),
+        _stored(_text(_placed("o_orderkey"))).alias("create_time"),
         F.lit(None).cast("string").alias("operate_time"))
 
 
@@ -128,7 +135,7 @@ def order_detail_of(lines: DataFrame) -> DataFrame:
         _money(F.lit(0)).alias("split_activity_amount"),
         _money(F.lit(None)).alias("split_coupon_amount"),
         F.concat(F.lit("line "), F.col("l_partkey").cast("string")).alias("sku_name"),
-        _text(_placed("l_orderkey") + shift).alias("create_time"))
+        _stored(_text(_placed("l_orderkey") + shift)).alias("create_time"))
 
 
 def payment_info(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,7 +150,7 @@ def payment_info_of(orders: DataFrame) -> DataFrame:
         (F.col("o_orderkey") + 1000000000).alias("id"), F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"), _money("o_totalprice").alias("total_amount"),
         F.col("o_orderpriority").alias("subject"), F.lit("1101").alias("payment_type"),
-        time.alias("create_time"), time.alias("callback_time"))
+        _stored(time).alias("create_time"), time.alias("callback_time"))
 
 
 def refund_info(spark: SparkSession, sf_dir: str) -> DataFrame:
