@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from tidemart.llm.shared import saved
 from tidemart.llm.vectors import in_blocks, nearest, proper
 
-PROJECTIONS = 32
+PROJECTIONS = 24
 WIDTH = 2.719            # window of radius 1
-RADIUS = 0.5             # first radius; points and queries have length 1
+RADIUS = 0.6             # first radius; points and queries have length 1
 GROWTH = 1.2             # the next radius
 QUERIES_AT_ONCE = 512    # whose counts are held together
-MISS = 1.6               # deviations below its mean count at which a vector is still verified
+MISS = 1.0               # deviations below its mean count at which a vector is still verified
 SCHEMA = "query_id bigint, vec_id bigint, score double"
 
 
@@ -38,7 +38,7 @@ class Projections:
     def __init__(self, points: np.ndarray, m: int, seed: int):
         self.directions = np.random.default_rng(seed).standard_normal((points.shape[1], m))
         projected = points @ self.directions
-        self.order = np.argsort(projected, axis=0, kind="stable").T.astype(np.int32)
+        self.order = np.argsort(projected, axis=0, kind="stable").T.copy()
         self.values = np.take_along_axis(projected.T, self.order, axis=1)
 
     def windows(self, centres: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
@@ -116,7 +116,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray,
     place[order] = np.arange(len(ids))
 
     def verify(q: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        scores = np.einsum("ij,j->i", points[found], queries[q])
+        scores = points.take(found, axis=0) @ queries[q]
         gap = np.sqrt(np.maximum(2 - 2 * scores / (norms[q] * largest), 0.0))
         return np.where(ids[found] == query_ids[q], np.inf, gap), scores
 
@@ -128,6 +128,11 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray,
                                                  threshold), at):
             other = ids[found] != query_ids[q]
             found, scores = found[other], scores[other]
+            if len(found) > k:      # all that are about as near as the kth, then in order
+                about = 1e-12 * norms[q] * largest
+                found = found[scores >= np.partition(scores, -k)[-k] - about]
+            # equal vectors get equal scores, wherever they stand
+            scores = np.einsum("ij,j->i", points.take(found, axis=0), queries[q])
             best = np.lexsort((place[found], -scores))[:k]
             out.append((ids[found[best]], scores[best]))
     return out
