@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,8 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CHARS_AT_ONCE = 1 << 18
-MOST_EDGES = 5_000_000       # lattice edges that a Python worker remembers, 24 bytes each
+CHARS_AT_ONCE = 1 << 19
+MOST_EDGES = 8_000_000       # lattice edges that a Python worker remembers, 24 bytes each
 SHORT = 40                   # units of up to so many characters are built together
 STEP = 2.0 ** -30            # resolution of the uniform numbers
 WORD_UNIT = re.compile(r" *[^\W\d_]+|[^\W\d_ ]+| *(?:(?![^\W\d_])[^ ])+| +")
@@ -235,25 +236,27 @@ class Lattices:
 
     def starts(self, texts: list[list[str]]) -> list[np.ndarray]:
         """The units' nodes of each text."""
-        get = self.first.get
-        nodes = [list(map(get, units)) for units in texts]
-        new = {u for units, at in zip(texts, nodes) if None in at
-               for u, x in zip(units, at) if x is None}
+        new = set().union(*texts).difference(self.first)
         if new:
             self.add(list(new))
-            nodes = [list(map(get, units)) if None in at else at for units, at in zip(texts, nodes)]
-        return [np.array(at, np.int64) for at in nodes]
+        nodes = np.array(list(map(self.first.get, chain.from_iterable(texts))), np.int64)
+        return np.split(nodes, np.cumsum([len(t) for t in texts])[:-1])
 
 
-def noise(seeds: np.ndarray, *places: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1) by seed and place: the same whatever else is drawn with them."""
+def mixed_bits(seeds: np.ndarray, *places: np.ndarray | int) -> np.ndarray:
+    """Random bits by seed and place: the same whatever else is drawn with them."""
     x = seeds.astype(np.uint64)
     for p in places:
         x = x + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
         x = x ^ (x >> np.uint64(31))
-    return ((x >> np.uint64(34)).astype(np.float64) + 0.5) * STEP
+    return x
+
+
+def noise(seeds: np.ndarray, *places: np.ndarray | int) -> np.ndarray:
+    """Numbers in (0, 1) by seed and place."""
+    return ((mixed_bits(seeds, *places) >> np.uint64(34)).astype(np.float64) + 0.5) * STEP
 
 
 def gumbel(uniform: np.ndarray) -> np.ndarray:
@@ -265,8 +268,9 @@ def walk(lat: Lattices, nodes: np.ndarray, seeds: np.ndarray, places: np.ndarray
     """Draw a path from each node to its unit's end: (which of the nodes, edge), in path order."""
     which, at = np.arange(len(nodes)), nodes
     whose, taken, step = [], [], 0
+    own = mixed_bits(seeds, places * 4 + 1, draw)
     while len(at):
-        u = noise(seeds[which], places[which] * 4 + 1, draw, step)
+        u = noise(own[which], step)
         edge = at.copy()
         rest = np.flatnonzero(u >= lat.sums[edge])
         while len(rest):
@@ -396,8 +400,8 @@ def _extend(lat: Lattices, todo: list[tuple], draw: int) -> None:
             rest[rest < 1e-14] = 0.0            # one piece only, or nothing left but rounding
             with np.errstate(divide="ignore"):
                 mass = so_far[t:] - logs[t:] + np.log(rest)
-            g = gumbel(noise(np.full(len(rest), w.seed, np.uint64), np.arange(len(rest)) * 4 + 4,
-                             draw))
+            own = mixed_bits(np.array([w.seed], np.uint64), 4, draw)
+            g = gumbel(noise(own, np.arange(len(rest))))
             cells[t:] = -np.logaddexp(-value, -(mass + g))
         w.cells.append(cells)
 
