@@ -289,18 +289,27 @@ def walk(lat: Lattices, nodes: np.ndarray, seeds: np.ndarray, places: np.ndarray
 
 
 class _Text:
-    """A text's paths so far, and for each the values of the cells that split off along it."""
+    """A text's paths so far, and for each the values of the cells that split off along it.
+
+    A path is (unit of each piece, edges, running log probability, value); its cells are those from
+    the place on where it left an earlier path, with the edges that were shut there.
+    """
 
     def __init__(self, seed: int, starts: np.ndarray):
         self.seed, self.starts = seed, starts
-        self.paths: list[tuple[np.ndarray, np.ndarray, float, float]] = []
-        self.cells: list[np.ndarray] = []
-        self.shut: list[tuple[int, tuple[int, ...]]] = []
+        self.paths: list[tuple[np.ndarray, np.ndarray, np.ndarray, float]] = []
+        self.cells: list[tuple[int, np.ndarray]] = []
+        self.shut: list[tuple[int, ...]] = []
 
     def best(self) -> tuple[float, int, int]:
-        tops = [(float(v.max()) if len(v) else -math.inf, i) for i, v in enumerate(self.cells)]
-        value, path = max(tops, key=lambda x: (x[0], -x[1]), default=(-math.inf, 0))
-        return value, path, int(self.cells[path].argmax()) if value > -math.inf else 0
+        """The largest value, its path and its place on it; ties go to the earlier path."""
+        value, path, place = -math.inf, 0, 0
+        for i, (t, cells) in enumerate(self.cells):
+            if len(cells):
+                at = int(cells.argmax())
+                if cells[at] > value:
+                    value, path, place = float(cells[at]), i, t + at
+        return value, path, place
 
 
 def sample(lat: Lattices, texts: list[str], seeds: list[int], k: int
@@ -310,28 +319,27 @@ def sample(lat: Lattices, texts: list[str], seeds: list[int], k: int
     divide = lat.vocabulary.divides.findall
     nodes = lat.starts([divide(" " + t) if t else [] for t in texts])
     works = [_Text(seed, at) for seed, at in zip(seeds, nodes)]
-    first = [(w, w.starts, None, float(gumbel(noise(np.array([w.seed], np.uint64), 2))[0]), 0, ())
-             for w in works]
-    _extend(lat, first, 0)
+    firsts = gumbel(noise(np.array(seeds, np.uint64), 2)).tolist() if seeds else []
+    _extend(lat, [(w, None, value, 0, ()) for w, value in zip(works, firsts)], 0)
     for draw in range(1, k):
         todo = []
         for w in works:
             value, path, t = w.best()
             if value == -math.inf:
                 continue
-            units, edges, _, _ = w.paths[path]
-            w.cells[path][t] = -math.inf
-            shut = w.shut[path][1] if t == w.shut[path][0] else ()
-            shut = (*shut, int(edges[t]))
+            edges, (from_t, cells) = w.paths[path][1], w.cells[path]
+            cells[t - from_t] = -math.inf
+            shut = (*(w.shut[path] if t == from_t else ()), int(edges[t]))
             edge = _other(lat, int(edges[t]), shut, float(
                 noise(np.array([w.seed], np.uint64), 3, draw)[0]))
-            todo.append((w, None, (path, t, edge), value, t, shut))
+            todo.append((w, (path, edge), value, t, shut))
         _extend(lat, todo, draw)
     out = []
     for w in works:
         threshold = w.best()[0]
         rows = []
-        for units, edges, log_prob, value in w.paths[:k]:
+        for _, edges, so_far, value in w.paths:
+            log_prob = float(so_far[-1]) if len(so_far) else 0.0
             with np.errstate(over="ignore"):
                 inclusion = 1.0 if threshold == -math.inf else float(
                     -np.expm1(-np.exp(log_prob - threshold)))
@@ -358,52 +366,58 @@ def _other(lat: Lattices, edge: int, shut: tuple[int, ...], u: float) -> int:
 
 def _extend(lat: Lattices, todo: list[tuple], draw: int) -> None:
     """Draw the path of each cell in `todo`, and the values of the cells that it splits into."""
-    nodes, seeds, places, begins = [], [], [], []
-    for w, starts, departure, *_ in todo:
+    if not todo:
+        return
+    nodes, places, chosen = [], [], []
+    for w, departure, _, t, _ in todo:
         if departure is None:
-            at, numbers = starts, np.arange(len(starts))
+            at, numbers = w.starts, np.arange(len(w.starts))
         else:
-            path, t, edge = departure
+            path, edge = departure
             unit, to = int(w.paths[path][0][t]), int(lat.target[edge])
             at, numbers = w.starts[unit + 1:], np.arange(unit + 1, len(w.starts))
             if to >= 0:
                 at, numbers = np.concatenate([[to], at]), np.concatenate([[unit], numbers])
-        begins.append(len(at))
+            chosen.append((unit, edge))
         nodes.append(at)
         places.append(numbers)
-        seeds.append(np.full(len(at), w.seed, np.uint64))
-    if not todo:
-        return
-    ends = np.cumsum(begins)
+    seeds = np.array([w.seed for w, *_ in todo], np.uint64)
+    counts = np.array([len(at) for at in nodes])
     numbers = np.concatenate(places).astype(np.int64)
-    whose, taken = walk(lat, np.concatenate(nodes).astype(np.int64), np.concatenate(seeds),
+    whose, edges = walk(lat, np.concatenate(nodes).astype(np.int64), np.repeat(seeds, counts),
                         numbers, draw)
-    cuts = np.searchsorted(whose, np.concatenate([[0], ends]))
-    for (w, _, departure, value, t, shut), a, b in zip(todo, cuts, cuts[1:]):
-        units, edges = numbers[whose[a:b]], taken[a:b]
+    units = numbers[whose]
+    cuts = np.searchsorted(whose, np.append(0, np.cumsum(counts)))
+    if chosen:
+        units = np.insert(units, cuts[:-1], [u for u, _ in chosen])
+        edges = np.insert(edges, cuts[:-1], [e for _, e in chosen])
+        cuts = cuts + np.arange(len(cuts))
+    lengths = np.diff(cuts)
+    chance = lat.chance[edges]
+    logs = np.log(np.maximum(chance, 1e-300))
+    before = np.array([0.0 if d is None or not t else w.paths[d[0]][2][t - 1]
+                       for w, d, _, t, _ in todo])
+    run = np.cumsum(logs)
+    so_far = run + np.repeat(before - np.append(0.0, run)[cuts[:-1]], lengths)
+    rest = 1 - chance
+    for (*_, shut), at in zip(todo, cuts.tolist()):
+        if shut:
+            rest[at] -= sum(lat.chance[e] for e in shut)
+    rest[rest < 1e-14] = 0.0            # one piece only, or nothing left but rounding
+    with np.errstate(divide="ignore"):
+        mass = so_far - logs + np.log(rest)
+    g = gumbel(noise(np.repeat(mixed_bits(seeds, 4, draw), lengths),
+                     np.arange(len(edges)) - np.repeat(cuts[:-1], lengths)))
+    values = np.array([value for _, _, value, _, _ in todo])
+    cells = -np.logaddexp(-np.repeat(values, lengths), -(mass + g))
+    for (w, departure, value, t, shut), a, b in zip(todo, cuts.tolist(), cuts[1:].tolist()):
+        path = (units[a:b], edges[a:b], so_far[a:b])
         if departure is not None:
-            path, _, edge = departure
-            before = w.paths[path]
-            units = np.concatenate([before[0][:t + 1], units])
-            edges = np.concatenate([before[1][:t], [edge], edges])
-        chance = lat.chance[edges]
-        logs = np.log(np.maximum(chance, 1e-300))
-        so_far = np.cumsum(logs)
-        log_prob = float(so_far[-1]) if len(edges) else 0.0
-        w.paths.append((units, edges, log_prob, value))
-        w.shut.append((t, shut))
-        cells = np.full(len(edges), -math.inf)
-        if len(edges):
-            rest = 1 - chance[t:]
-            if shut:
-                rest[0] -= sum(lat.chance[e] for e in shut)
-            rest[rest < 1e-14] = 0.0            # one piece only, or nothing left but rounding
-            with np.errstate(divide="ignore"):
-                mass = so_far[t:] - logs[t:] + np.log(rest)
-            own = mixed_bits(np.array([w.seed], np.uint64), 4, draw)
-            g = gumbel(noise(own, np.arange(len(rest))))
-            cells[t:] = -np.logaddexp(-value, -(mass + g))
-        w.cells.append(cells)
+            path = tuple(np.concatenate([old[:t], new])
+                         for old, new in zip(w.paths[departure[0]], path))
+        w.paths.append((*path, value))
+        w.cells.append((t, cells[a:b]))
+        w.shut.append(shut)
 
 
 def key_seed(key: object, seed: int) -> int:
