@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 CHARS_AT_ONCE = 1 << 19
-MOST_EDGES = 8_000_000       # lattice edges that a Python worker remembers, 24 bytes each
+MOST_EDGES = 6_000_000       # lattice edges that a Python worker remembers, 24 bytes each
 SHORT = 40                   # units of up to so many characters are built together
 STEP = 2.0 ** -30            # resolution of the uniform numbers
 WORD_UNIT = re.compile(r" *[^\W\d_]+|[^\W\d_ ]+| *(?:(?![^\W\d_])[^ ])+| +")
@@ -225,7 +225,7 @@ class Lattices:
             array = getattr(self, name)
             if high > len(array):
                 setattr(self, name, np.concatenate(
-                    [array[:low], np.zeros(high + high // 2 - low, array.dtype)]))
+                    [array[:low], np.zeros(high + high // 4 - low, array.dtype)]))
         ends = np.cumsum(degree)
         sums = np.cumsum(chance)
         sums -= np.repeat(sums[ends - 1] - np.add.reduceat(chance, ends - degree), degree)
@@ -428,7 +428,7 @@ _HELD: dict[str, tuple[Vocabulary, Lattices]] = {}
 
 
 def _lattices(vocabulary: Vocabulary, name: str) -> Lattices:
-    """The worker's own lattices for a vocabulary, kept between tasks."""
+    """The worker's own lattices for a vocabulary; the trie is kept between tasks."""
     if name not in _HELD:
         _HELD.clear()
         _HELD[name] = (vocabulary, Lattices(vocabulary))
@@ -486,16 +486,19 @@ def sampled(documents: DataFrame, model_file: str, k: int = 2, text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = _lattices(handed.value, name)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("__text").to_pylist()]
-            begin, held = 0, 0
-            for i, t in enumerate(texts):
-                held += len(t)
-                if held >= CHARS_AT_ONCE or i + 1 == len(texts):
-                    yield some(batch, lat, begin, texts[begin:i + 1])
-                    begin, held = i + 1, 0
-                    if lat.count > MOST_EDGES:
-                        lat.clear()
+        try:
+            for batch in batches:
+                texts = [t or "" for t in batch.column("__text").to_pylist()]
+                begin, held = 0, 0
+                for i, t in enumerate(texts):
+                    held += len(t)
+                    if held >= CHARS_AT_ONCE or i + 1 == len(texts):
+                        yield some(batch, lat, begin, texts[begin:i + 1])
+                        begin, held = i + 1, 0
+                        if lat.count > MOST_EDGES:
+                            lat.clear()
+        finally:
+            lat.clear()     # workers outlive their tasks
 
     return rows.mapInArrow(run, schema)
 
