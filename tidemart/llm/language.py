@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.shared import HASH_BITS, row_hash
+from tidemart.llm.shared import HASH_BITS, row_hash, small_batches
 
 DIMENSIONS = 512
 CLASSES = 4096         # letters by code point modulo this; class 0 is everything that is no letter
@@ -139,7 +139,7 @@ def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "la
                 [pa.array([name] * dimensions), pa.array(np.arange(dimensions)), pa.array(total)],
                 names=["lang", "place", "value"])
 
-    totals = chosen.mapInArrow(run, "lang string, place bigint, value double").groupBy(
+    totals = small_batches(chosen).mapInArrow(run, "lang string, place bigint, value double").groupBy(
         "lang", "place").agg(F.sum("value").alias("value")).collect()
     names = tuple(sorted({r["lang"] for r in totals}))
     prototypes = np.zeros((len(names), dimensions))
@@ -168,4 +168,4 @@ def predict(documents: DataFrame, model: LanguageModel, text: str = "text",
         raise ValueError(f"{lang_pred} or {score} is in use")
     schema = T.StructType([*documents.schema.fields, T.StructField(lang_pred, T.StringType()),
                            T.StructField(score, T.DoubleType())])
-    return documents.mapInArrow(run, schema)
+    return small_batches(documents).mapInArrow(run, schema)

@@ -86,10 +86,37 @@ def thresholds(rows: DataFrame, goals: DataFrame, levels: int = LEVELS,
     return edge.select("source", F.col("start").alias("bound"))
 
 
+def plan(rows: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    """(source, source_size, target, whole, bound) from rows (source, size, h): rows of a source are
+    taken `whole` times, and once more where h < bound."""
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    goals = saved(targets(sizes, weights, share, most), "targets")
+    whole = F.when(F.col("source_size") > 0,
+                   F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
+    goals = goals.withColumn("whole", whole.cast("bigint"))
+    bounds = thresholds(rows, goals.where("source_size > 0").select(
+        "source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("goal")))
+    return saved(goals.alias("g").join(
+        bounds.alias("b"), F.col("g.source").eqNullSafe(F.col("b.source")), "left").select(
+            F.col("g.source").alias("source"), "source_size", "target", "whole", "bound"), "plan")
+
+
+def _times(rows: DataFrame, made: DataFrame, source: str) -> DataFrame:
+    """Rows with __h and the plan of their source: how often each is taken."""
+    made = made.withColumnRenamed("source", "__source")
+    more = F.when(F.col("__h") < F.col("bound"), F.lit(1)).otherwise(F.lit(0))
+    return rows.join(made, F.col(f"`{source}`").eqNullSafe(F.col("__source"))).withColumn(
+        "times", F.col("whole") + more)
+
+
+def _key_hash(key: str, seed: int) -> Column:
+    return row_hash(F.col(f"`{key}`").cast("string"), seed=seed)
+
+
 def mix(documents: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id",
         weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
-        seed: int = 11, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """`keep`, size, source_size, target and `times`: how often the mix takes the row.
+        seed: int = 11) -> DataFrame:
+    """(key, size, source_size, target, times) of each row: how often the mix takes it.
 
     A source whose target is r times its size takes every row floor(r) times, and once more the rows
     whose hash lies below the bound for the rest. Size: words of the text, none for null. A source
@@ -97,34 +124,24 @@ def mix(documents: DataFrame, source: str = "source", text: str = "text", key: s
     taken equally often. Null sources are a source of their own. No rows: no rows.
     """
     rows = saved(documents.select(
-        *[F.col(f"`{c}`").alias(f"k_{c}") for c in keep], F.col(f"`{source}`").alias("source"),
-        words(text).alias("size"),
-        row_hash(F.col(f"`{key}`").cast("string"), seed=seed).alias("h")), "sizes")
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goals = saved(targets(sizes, weights, share, most), "targets")
-    whole = F.when(F.col("source_size") > 0,
-                   F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    goals = goals.withColumn("whole", whole.cast("bigint"))
-    bounds = thresholds(rows, goals.where("source_size > 0").select(
-        "source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("goal")))
-    plan = goals.alias("g").join(
-        bounds.alias("b"), F.col("g.source").eqNullSafe(F.col("b.source")), "left").select(
-            F.col("g.source").alias("source"), "source_size", "target", "whole", "bound")
-    more = F.when(F.col("h") < F.col("bound"), F.lit(1)).otherwise(F.lit(0))
-    return rows.alias("r").join(plan.alias("p"), F.col("r.source").eqNullSafe(F.col("p.source"))
-                                ).select(*[F.col(f"k_{c}").alias(c) for c in keep], "size",
-                                         "source_size", "target",
-                                         (F.col("whole") + more).alias("times"))
+        F.col(f"`{key}`").alias("key"), F.col(f"`{source}`").alias("source"),
+        words(text).alias("size"), _key_hash(key, seed).alias("h")), "sizes")
+    found = _times(rows.withColumnRenamed("h", "__h"), plan(rows, weights, share, most), "source")
+    return found.select(F.col("key").alias(key), "size", "source_size", "target", "times")
 
 
 def mixed(documents: DataFrame, source: str = "source", text: str = "text", key: str = "doc_id",
-          **how) -> DataFrame:
-    """The documents of the mix, a row as often as it is taken, with the columns of `documents`."""
-    columns = documents.columns
-    if "__row" in columns:
-        raise ValueError("column __row is in use")
-    numbered = saved(documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    times = mix(numbered, source, text, key, keep=("__row",), **how).where("times > 0")
-    copies = F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int")))
-    return numbered.join(times.select("__row", copies.alias("__copy")), "__row").select(
-        *[F.col(f"`{c}`") for c in columns])
+          weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
+          seed: int = 11) -> DataFrame:
+    """The documents of the mix, a row as often as it is taken, with the columns of `documents`.
+
+    The texts meet the plan by their source, so that they are not sent where the plan is small.
+    """
+    rows = documents.select(F.col(f"`{source}`").alias("source"), words(text).alias("size"),
+                            _key_hash(key, seed).alias("h"))
+    made = plan(saved(rows, "sizes"), weights, share, most)
+    held = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
+                            F.col(f"`{source}`").alias("own"), _key_hash(key, seed).alias("__h"))
+    found = _times(held, made, "own").where("times > 0").select(
+        "row", F.explode(F.array_repeat(F.lit(0), F.col("times").cast("int"))))
+    return found.select("row.*")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.shared import HASH_BITS, row_hash, saved
+from tidemart.llm.shared import HASH_BITS, row_hash, saved, small_batches
 
 FEATURES = ("words", "word_length", "longest_word", "distinct_words", "repeated_next",
             "upper", "digits", "stops", "shouts", "bars", "symbols", "white", "beyond_ascii",
@@ -68,7 +68,7 @@ def featured(documents: DataFrame, text: str = "text", keep: tuple[str, ...] = (
                 names=[*batch.schema.names[:-1], "x"])
 
     schema = T.StructType([*kept.schema.fields, T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return rows.mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -87,6 +87,10 @@ class QualityModel:
             total = total + z * F.lit(self.weights[i]) + z * z * F.lit(self.weights[n + i])
         return total
 
+    def utilities(self, x: np.ndarray) -> np.ndarray:
+        """The same for rows of features on one machine."""
+        return expand(x, np.array(self.mean), np.array(self.scale)) @ np.array(self.weights)
+
     def score(self, utility: Column) -> Column:
         """Between 0 and 1, rising with the utility, CUT at the cut: the chance to beat a document
         there, with its odds moved so that even odds read as CUT."""
@@ -203,3 +207,14 @@ def scored(documents: DataFrame, labels: DataFrame, learn: Column, text: str = "
     score = model.score(model.utility(F.col("x")))
     return rows.select("doc_id", score.alias("score"),
                        (score >= CUT).cast("int").alias("predicted"))
+
+
+def kept(documents: DataFrame, model: QualityModel, text: str = "text") -> DataFrame:
+    """The documents whose utility is at least the cut, in one pass over their texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(text).cast(pa.binary())
+            x = np.array([features(t.as_py()) for t in texts]).reshape(-1, len(FEATURES))
+            yield batch.filter(pa.array(model.utilities(x) >= model.cut))
+
+    return small_batches(documents).mapInArrow(run, documents.schema)

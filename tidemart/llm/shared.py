@@ -31,6 +31,16 @@ def row_hash(*parts: Column | str, seed: int = 0) -> Column:
 
 
 HASH_BITS = 60
+ROWS_PER_BATCH = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, for Python functions over texts: from now on the session hands rows to Python
+    ROWS_PER_BATCH at a time at the most, as a batch is held in memory with its texts."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(df.sparkSession.conf.get(key)) > ROWS_PER_BATCH:
+        df.sparkSession.conf.set(key, str(ROWS_PER_BATCH))
+    return df
 
 
 def held_out(doc_id: str, parts: int, part: int) -> Column:

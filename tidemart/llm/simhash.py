@@ -8,10 +8,10 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.shared import components, saved
+from tidemart.llm.shared import components, saved, small_batches
 
 BITS = 64
 AT_ONCE = 1 << 16   # shingles whose bits are counted in one step
@@ -57,7 +57,7 @@ def fingerprints(documents: DataFrame, text: str = "text", width: int = 3, seed:
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in
                        documents.select(*[F.col(f"`{c}`") for c in keep]).schema)
-    return rows.mapInArrow(run, f"{schema}, `{name}` bigint")
+    return small_batches(rows).mapInArrow(run, f"{schema}, `{name}` bigint")
 
 
 def fingerprint_text(fp: str = "fp") -> Column:
@@ -152,20 +152,25 @@ def one_of_each(documents: DataFrame, doc_id: str = "doc_id", text: str = "text"
                 distance: int = 2, blocks: int = 4) -> DataFrame:
     """The documents, one row of each class of near duplicates: the smallest id (null last).
 
-    Rows are numbered as they are written, so that one of several rows with that id stays. Columns
+    Rows are told apart by two hashes of id and text; of rows equal in both one stays. The texts are
+    sent once, to meet the rows that stay; `merge` keeps that join the same at every size. Columns
     are those of `documents`.
     """
     columns = documents.columns
-    clear = [c for c in ("__row", "__fp") if c in columns]
-    if clear:
-        raise ValueError(f"columns {clear} are in use")
-    numbered = saved(documents.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-    fps = saved(fingerprints(numbered, text, keep=("__row", doc_id)).withColumnRenamed(
+    marks = ("__first", "__second")
+    if set(marks) & set(columns):
+        raise ValueError(f"columns {marks} are in use")
+    known = F.coalesce(F.col(f"`{doc_id}`").cast("string"), F.lit("~")), F.col(f"`{text}`")
+    marked = documents.withColumns({"__first": F.xxhash64(*known), "__second": F.hash(*known)})
+    fps = saved(fingerprints(marked, text, keep=(doc_id, *marks)).withColumnRenamed(
         doc_id, "doc_id"), "fingerprints")
-    whole = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")
-    nodes = fps.groupBy("fp").agg(F.min(whole).alias("low"))
-    roots = components(links(saved(nodes.select("fp"), "nodes"), distance, blocks))
-    kept = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
-        F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low"))
-    return numbered.join(kept.select(F.col("low.__row").alias("__row")), "__row",
-                         "left_semi").select(*[F.col(f"`{c}`") for c in columns])
+    whole = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *marks)
+    nodes = saved(fps.groupBy("fp").agg(F.min(whole).alias("low")), "nodes")
+    roots = components(links(nodes.select("fp"), distance, blocks))
+    stay = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(
+        F.coalesce("root", "fp").alias("root")).agg(F.min("low").alias("low")).select(
+            "low.__first", "low.__second")
+    met = marked.join(stay.hint("merge"), list(marks))
+    one = Window.partitionBy(*marks).orderBy(*marks)
+    return met.withColumn("__n", F.row_number().over(one)).where("__n = 1").select(
+        *[F.col(f"`{c}`") for c in columns])
