@@ -98,7 +98,9 @@ def plan(rows: DataFrame, weights: tuple[int, ...], share: float, most: float) -
         "source", (F.col("target") - F.col("whole") * F.col("source_size")).alias("goal")))
     return saved(goals.alias("g").join(
         bounds.alias("b"), F.col("g.source").eqNullSafe(F.col("b.source")), "left").select(
-            F.col("g.source").alias("source"), "source_size", "target", "whole", "bound"), "plan")
+            F.col("g.source").alias("source"), "source_size", "target", "whole",
+            F.when(F.col("target") > F.col("whole") * F.col("source_size"), F.col("bound"))
+            .otherwise(F.lit(0)).alias("bound")), "plan")
 
 
 def _times(rows: DataFrame, made: DataFrame, source: str) -> DataFrame:

@@ -50,7 +50,8 @@ def held_out(doc_id: str, parts: int, part: int) -> Column:
 
 
 def components(edges: DataFrame, longest: int = 60) -> DataFrame:
-    """Connected components of the links (a, b): rows (node, root), root the smallest node.
+    """Connected components of the links (a, b): rows (node, root) of all linked nodes but
+    the roots; a root is the smallest node of its component.
 
     Large-star and small-star steps in turn, each a group minimum and a join, until the links are
     stars. Links are written after each round; only a count and a sum of hashes reach the driver.
