@@ -252,6 +252,8 @@ UPSERT_CHANGED = """
         CASE WHEN s.id IS NOT NULL THEN 'old' END AS extra, i.key
         FROM ins i FULL JOIN stored s ON i.id = s.id)"""
 
+FIRST_PART = "(o_orderkey % 5 <> 0 AND o_orderkey % 3 <> 0)"
+SECOND_PART = "(o_orderkey % 5 <> 1 AND o_orderkey % 3 <> 1)"
 PARTIAL_MONEY = ["coupon_reduce_amount", "activity_reduce_amount", "original_total_amount",
                  "feight_fee", "total_amount", "order_price", "split_activity_amount",
                  "split_coupon_amount", "split_total_amount"]
@@ -272,10 +274,11 @@ ORACLE: dict[str, str] = {
     "untimed_payments": """SELECT o_orderkey + 1000000000 AS id, 'soon' AS create_time FROM orders
         WHERE o_orderstatus <> 'P' AND o_orderkey % 101 = 0""",
     "merge_partial_wide": "SELECT o_orderkey AS order_id, " + ", ".join(
-        [f"o_totalprice AS {c}" for c in PARTIAL_MONEY]
-        + [f"CASE WHEN o_orderkey % 3 <> 0 THEN o_custkey ELSE o_custkey + 1 END AS {c}"
+        [f"CASE WHEN {FIRST_PART} OR {SECOND_PART} THEN o_totalprice END AS {c}"
+         for c in PARTIAL_MONEY]
+        + [f"CASE WHEN {FIRST_PART} THEN o_custkey WHEN {SECOND_PART} THEN o_custkey + 1 END AS {c}"
            for c in ("user_id", "sku_id", "sku_num")]
-        + [f"CASE WHEN o_orderkey % 3 <> 0 THEN 'a' ELSE 'b' END || o_orderstatus AS {c}"
+        + [f"CASE WHEN {FIRST_PART} THEN 'a' WHEN {SECOND_PART} THEN 'b' END || o_orderstatus AS {c}"
            for c in ("order_status", "create_time", "create_date", "sku_name")]) + " FROM orders",
     "order_time_columns": _with("info", """SELECT id, create_time,
         substr(create_time, 1, 10) AS create_date, substr(create_time, 12, 2) AS create_hour,
@@ -372,6 +375,11 @@ ORACLE: dict[str, str] = {
     "split_logs": _with("logrow good", f"""SELECT {FLAT} FROM (SELECT * REPLACE (
         CASE WHEN is_new = '1' AND row_number() OVER (PARTITION BY mid, is_new ORDER BY ts, seq) > 1
         THEN '0' ELSE is_new END AS is_new) FROM good) WHERE start IS NULL"""),
+    "log_payload": _with("logrow good", """SELECT mid, is_new, page_id, ts::VARCHAR AS ts,
+        CASE WHEN seq % 7 = 0 THEN 'x' END AS sid,
+        CASE WHEN seq % 7 = 0 THEN 1.5::DOUBLE END AS action FROM (SELECT * REPLACE (
+        CASE WHEN is_new = '1' AND row_number() OVER (PARTITION BY mid, is_new ORDER BY ts, seq) > 1
+        THEN '0' ELSE is_new END AS is_new) FROM good) WHERE start IS NULL"""),
     "unique_visitor": _with("logrow page entry uniques", f"SELECT {FLAT} FROM uniques"),
     "unique_visitor_utc8": _with("logrow page entry", f"""SELECT {FLAT} FROM entry
         QUALIFY row_number() OVER (PARTITION BY mid, (at_time + INTERVAL 8 HOUR)::DATE

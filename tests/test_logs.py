@@ -96,3 +96,24 @@ def test_one_hot_device(spark):
     fixed = logs.repair_new_flags(rows).where("common.mid = 'hot'")
     assert values(fixed.where("common.is_new = '1'"), "ts") == [(0,)]
     assert fixed.count() == 1000
+
+
+def test_payload_keeps_every_key(spark):
+    """Undeclared keys and the start object stay; odd but good lines give no all-null rows."""
+    rows = [(0, '{"common":{"mid":"a","is_new":"1","sid":7},"start":{"entry":"icon"},"err":[1,"2"],"ts":5}'),
+            (1, '{"common":{"mid":"a","is_new":"1","sid":8},"actions":[{"k":1.5}],"ts":6}'),
+            (2, "{'ts': '7','common':{'mid':'a','is_new':'0'}}"),
+            (3, '{"ts":"1","ts":"8","common":{"mid":"a","is_new":"1"}}')]
+    lines = spark.createDataFrame(rows, "seq bigint, value string").withColumn(
+        "line", F.col("value"))
+    parsed = logs.parse_logs(lines)
+    assert {(r.seq, r.ts, r.common.mid) for r in parsed.collect()} == {
+        (0, 5, "a"), (1, 6, "a"), (2, 7, "a"), (3, 8, "a")}
+    fixed = logs.repair_new_flags(parsed)
+    assert logs.payload(logs.start_logs(fixed)).first().value == rows[0][1]
+    pages = [json.loads(r.value.replace("'", '"')) for r in logs.payload(
+        logs.page_logs(fixed)).collect()]
+    assert sorted(pages, key=lambda p: int(p["ts"])) == [
+        {"common": {"mid": "a", "is_new": "0", "sid": 8}, "actions": [{"k": 1.5}], "ts": 6},
+        {"common": {"mid": "a", "is_new": "0"}, "ts": "7"},
+        {"common": {"mid": "a", "is_new": "0"}, "ts": "8"}]

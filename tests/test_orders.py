@@ -118,6 +118,9 @@ def test_merge_partial_rows(spark):
         {"detail_id": 1, "user_id": 5, "sku_num": 2, "split_total_amount": Decimal("3.00")}])
     row = orders.merge_partial(first, second, ["detail_id"]).first()
     assert (row.user_id, row.sku_num, row.split_total_amount) == (4, 2, 3)
+    lone = frame(spark, schemas.ORDER_WIDE, [{"detail_id": 2, "user_id": 6}])
+    both = orders.merge_partial(first, lone, ["detail_id"]).orderBy("detail_id").collect()
+    assert [(r.detail_id, r.user_id) for r in both] == [(1, 4), (2, 6)]
 
 
 def test_times(spark):
@@ -129,4 +132,6 @@ def test_times(spark):
     assert spark.range(1).select(
         F.unix_millis(whole_seconds(F.lit(1615780800999)))).first()[0] == 1615780800000
     assert spark.range(1).select(parse_time(F.lit("2021-03-15T12:00:00"))).first()[0] is None
+    for odd in ("2021-03-15 10:0:5.1", "2021-3-15 010:00:00", "2021-03-15 12:00:0 "):
+        assert spark.range(1).select(parse_time(F.lit(odd))).first()[0] is None
     assert interval_millis("15 minutes") == 900_000

@@ -17,7 +17,7 @@ def parse_time(text, fmt: str = TIME_FORMAT) -> Column:
     """
     text = F.col(text) if isinstance(text, str) else text
     if fmt == TIME_FORMAT:
-        fits = (F.length(text) == 19) & (F.substring(text, 11, 1) == " ")
+        fits = text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$")
         return F.when(fits, text.try_cast("timestamp"))
     return F.try_to_timestamp(text, F.lit(fmt))
 

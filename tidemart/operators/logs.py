@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemart import schemas
-from tidemart.functions.json_rows import is_json_object, parse_topic
+from tidemart.functions.json_rows import is_json_object, json_variant, parse_topic
 
 ORDER = ("ts", "seq")
 
@@ -59,6 +59,26 @@ def repair_new_flags(logs: DataFrame, order=ORDER, firsts: DataFrame | None = No
             .select(*logs.columns))
 
 
+def payload(logs: DataFrame, line: str = "line") -> DataFrame:
+    """The lines of the rows as they came, every key of them, with the repaired flag.
+
+    `line` is the text that a row was parsed from. Only lines whose flag has changed are written
+    anew, with names in order and of a repeated name the last.
+    """
+    whole = json_variant(line)
+    top = F.try_variant_get(whole, "$", "map<string,variant>")
+    common = F.try_variant_get(whole, "$.common", "map<string,variant>")
+
+    def put(pairs: Column, name: str, value: Column) -> Column:
+        return F.to_json(F.map_concat(F.map_filter(pairs, lambda k, _: k != name),
+                                      F.create_map(F.lit(name), value)))
+    repaired = F.parse_json(put(common, "is_new", F.parse_json(F.lit('"0"'))))
+    changed = (F.try_variant_get(whole, "$.common.is_new", "string") == "1") & (
+        F.col("common.is_new") == "0")
+    return logs.select(F.when(changed, put(top, "common", repaired)).otherwise(F.col(line))
+                       .alias("value"))
+
+
 def _is_start() -> Column:
     return F.coalesce(F.length("start") > 0, F.lit(False))
 

@@ -78,8 +78,11 @@ MERGED = ["order_status", "create_time", "create_date", "coupon_reduce_amount",
 
 
 def merge_partial(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
-    """Pairs of partial rows by key; in each merged column the first non-null value wins."""
+    """Partial rows by key; in each merged column the first non-null value wins.
+
+    A row that only one side has is kept; other columns come from the first side alone.
+    """
     other = second.select(*keys, *[F.col(c).alias(f"_{c}") for c in MERGED])
     merged = {c: F.coalesce(F.col(c), F.col(f"_{c}")) for c in MERGED}
-    return (first.join(other, keys, "left").withColumns(merged)
+    return (first.join(other, keys, "full").withColumns(merged)
             .select(*first.columns))

@@ -64,9 +64,15 @@ def province_stats(orders: DataFrame, details: DataFrame, provinces: DataFrame,
 def product_stats(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders: DataFrame,
                   details: DataFrame, payments: DataFrame, refunds: DataFrame,
                   comments: DataFrame, products: DataFrame,
-                  width: str = "10 seconds") -> DataFrame:
-    """Wide rows serve orders and payments without their dimensions: those join afterwards."""
+                  width: str = "10 seconds", saved: str | None = None) -> DataFrame:
+    """Wide rows serve orders and payments without their dimensions: those join afterwards.
+
+    With `saved`, a shared folder, orders are joined to their details once and read from there.
+    """
     wide = order_ops.join_order_details(orders, details)
+    if saved:
+        wide.write.mode("overwrite").parquet(saved)
+        wide = orders.sparkSession.read.schema(wide.schema).parquet(saved)
     blank = {c: F.lit(None).cast(t) for c, t in (
         ("province_name", "string"), ("province_area_code", "string"),
         ("province_iso_code", "string"), ("province_3166_2_code", "string"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # repeated names in JSON are good, the last one counts
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 # Streaming state beyond one heap: RocksDB on local disk, changes uploaded to the checkpoint.
@@ -48,10 +51,13 @@ def build_session(app: str = "tidemart", master: str | None = None, zone: str =
 def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, which every executor can reach.
 
-    Only where the cluster names none (tests, one machine) a local folder is set.
+    Only on one machine, where none is named, a local folder is set; executors of a cluster would
+    each write to their own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="run-")
         spark.conf.set("spark.checkpoint.dir", root)
     run = spark.sql("SELECT uuid()").first()[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,18 +81,29 @@ class DimensionStore:
         return True
 
     def create_missing(self, rules: DataFrame) -> list[str]:
-        """Make the table of every dimension rule. Rules are configuration: a few rows."""
-        wanted = (rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"])
-                  .select("sink_table", "sink_columns", "sink_pk").distinct().toLocalIterator())
-        made = [r.sink_table for r in wanted
-                if self.create(r.sink_table, r.sink_columns.split(","), r.sink_pk or "id")]
-        return made
+        """Make the table of every dimension rule, with the columns of all its rules. Rules are
+        configuration: a few rows."""
+        wanted: dict[str, tuple[str, dict[str, None], str]] = {}
+        for r in (rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"])
+                  .select("sink_table", "sink_columns", "sink_pk").distinct()
+                  .orderBy("sink_table", "sink_columns").collect()):
+            name, columns, key = wanted.setdefault(
+                r.sink_table.lower(), (r.sink_table, {}, r.sink_pk or "id"))
+            columns.update(dict.fromkeys(c.strip() for c in r.sink_columns.split(",")))
+        return [name for name, columns, key in wanted.values()
+                if self.create(name, list(columns), key)]
 
     def upsert(self, table: str, changes: DataFrame, batch_id: int, key: str = "id",
                on_delete: str = "ignore") -> None:
         """Add one micro-batch of changes; costs what the batch holds, not what the table holds."""
         self._table(table).append(change_rows(changes, key, on_delete), batch_id)
 
+    def upsert_keyed(self, table: str, by_key: dict[str, DataFrame], batch_id: int,
+                     on_delete: str = "ignore") -> None:
+        """The same for changes whose rules name different keys: one write for the whole batch."""
+        parts = [change_rows(changes, key, on_delete) for key, changes in by_key.items()]
+        self._table(table).append(reduce(DataFrame.unionByName, parts), batch_id)
+
     def read(self, table: str, key: str = "id", camel: bool = False) -> DataFrame:
         """Current rows. Without changes since the base, a plain scan."""
         batches = self._table(table)

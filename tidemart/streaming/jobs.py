@@ -57,7 +57,8 @@ class Warehouse:
 
     `salts` spreads the details of one order over that many state partitions in the
     stream-stream joins. `lag` is how far a topic may run behind others that feed the same
-    summary: a row reaches it through one to three micro-batches of other jobs, and one that comes
+    summary, and, unless `delay` says otherwise, how far out of order the rows of joined topics may
+    come: a row reaches it through one to three micro-batches of other jobs, and one that comes
     after the watermark is lost. `once` drains the topics and stops; otherwise queries keep
     running.
     """
@@ -71,6 +72,7 @@ class Warehouse:
     width: str = "10 seconds"
     timeout: str = "10 seconds"
     lag: str = "5 minutes"
+    delay: str | None = None
     day_start: str = "0 hours"
     on_delete: str = "ignore"
     as_of: str | None = None
@@ -116,21 +118,24 @@ class Warehouse:
 
         def work(batch: DataFrame, batch_id: int) -> None:
             # Rows of one file share a place; the row number tells them apart.
-            batch = batch.withColumn("row", F.monotonically_increasing_id()).persist()
+            batch = batch.withColumn("row", F.monotonically_increasing_id()).withColumn(
+                "line", F.col("value")).persist()
+            logs = None
             try:
                 logs = visits_seen.repair(log_ops.parse_logs(batch), batch_id,
                                           ("ts", "seq", "row")).persist()
                 pages = log_ops.page_logs(logs)
                 branches = {
-                    "page": to_topic(pages.drop("seq", "row")),
-                    "start": to_topic(log_ops.start_logs(logs).drop("seq", "row")),
+                    "page": log_ops.payload(pages),
+                    "start": log_ops.payload(log_ops.start_logs(logs)),
                     "display": log_ops.display_logs(pages).select(
                         F.to_json("display").alias("value")),
                     "dirty": log_ops.dirty_lines(batch).select("value")}
                 for name, lines in branches.items():
                     self.topics.put(lines, self.names[name], batch_id)
-                logs.unpersist()
             finally:
+                if logs is not None:
+                    logs.unpersist()
                 batch.unpersist()
         return self._start(each_batch(self._read("raw_log"), work), "split_logs")
 
@@ -150,11 +155,15 @@ class Warehouse:
                     routing.fact_payload(routing.fact_branch(routed)), batch_id)
                 dims = routing.dimension_branch(routed)
                 # One turn per dimension table: their number is a matter of configuration.
-                for table in rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"]) \
+                wanted: dict[str, set[str]] = {}
+                for rule in rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"]) \
                         .select("sink_table", "sink_pk").distinct().collect():
-                    self.dimensions.upsert(
-                        table.sink_table, dims.where(F.col("sink_table") == table.sink_table),
-                        batch_id, table.sink_pk or "id", self.on_delete)
+                    wanted.setdefault(rule.sink_table.lower(), set()).add(rule.sink_pk or "id")
+                for table, keys in wanted.items():
+                    own = dims.where(F.lower("sink_table") == table)
+                    self.dimensions.upsert_keyed(table, {
+                        k: own.where(F.coalesce("sink_pk", F.lit("id")) == k) for k in sorted(keys)},
+                        batch_id, self.on_delete)
             finally:
                 routed.unpersist()
         return self._start(each_batch(self._read("raw_db"), work), "route_changes")
@@ -172,7 +181,8 @@ class Warehouse:
     def order_wide(self) -> StreamingQuery:
         joined = order_ops.join_order_details(
             self._rows("order_info", schemas.ORDER_INFO),
-            self._rows("order_detail", schemas.ORDER_DETAIL), salts=self.salts)
+            self._rows("order_detail", schemas.ORDER_DETAIL), delay=self.delay or self.lag,
+            salts=self.salts)
         as_of = F.lit(self.as_of).cast("date") if self.as_of else None
 
         def work(batch: DataFrame, batch_id: int) -> None:
@@ -183,7 +193,8 @@ class Warehouse:
 
     def payment_wide(self) -> StreamingQuery:
         joined = join_payments(self._rows("payment", schemas.PAYMENT_INFO),
-                               self._rows("order_wide", schemas.ORDER_WIDE), salts=self.salts)
+                               self._rows("order_wide", schemas.ORDER_WIDE),
+                               delay=self.delay or self.lag, salts=self.salts)
         return self._to_topic(joined, "payment_wide", "payment_wide")
 
     # -- summary layer ----------------------------------------------------------
