@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from tidemart.llm.shared import small_batches
 
 CHARS_AT_ONCE = 1 << 19
-MOST_EDGES = 5_000_000       # lattice edges that a Python worker remembers, 24 bytes each
+MOST_EDGES = 6_000_000       # lattice edges that a Python worker remembers, 24 bytes each
 SHORT = 40                   # units of up to so many characters are built together
 STEP = 2.0 ** -30            # resolution of the uniform numbers
 WORD_UNIT = re.compile(r" *[^\W\d_]+|[^\W\d_ ]+| *(?:(?![^\W\d_])[^ ])+| +")
@@ -138,8 +138,9 @@ class Lattices:
     def clear(self) -> None:
         self.first: dict[str, int] = {}
         self.count = 0
-        self.sums, self.chance = np.zeros(1 << 16), np.zeros(1 << 16)
-        self.code, self.target = np.zeros(1 << 16, np.int32), np.zeros(1 << 16, np.int32)
+        room = MOST_EDGES + MOST_EDGES // 4     # pages are taken as they are written
+        self.sums, self.chance = np.empty(room), np.empty(room)
+        self.code, self.target = np.empty(room, np.int32), np.empty(room, np.int32)
 
     def add(self, units: list[str]) -> None:
         """Units that are new, many at once; places at the same distance from their unit's end
@@ -226,8 +227,9 @@ class Lattices:
         for name in ("sums", "chance", "code", "target"):
             array = getattr(self, name)
             if high > len(array):
-                setattr(self, name, np.concatenate(
-                    [array[:low], np.zeros(high + high // 4 - low, array.dtype)]))
+                wider = np.empty(high + high // 2, array.dtype)
+                wider[:low] = array[:low]
+                setattr(self, name, wider)
         ends = np.cumsum(degree)
         sums = np.cumsum(chance)
         sums -= np.repeat(sums[ends - 1] - np.add.reduceat(chance, ends - degree), degree)
