@@ -309,7 +309,7 @@ def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dictionary of short words: those of the benchmark texts with 3 to 6 letters."""
+    """A dictionary: the words of the benchmark texts."""
     from tidemart.functions.words import split_words
     words = split_words(table(spark, sf_dir, "benchmark").select("text"), "text")
-    return words.where("length(word) BETWEEN 3 AND 6").distinct()
+    return words.distinct()

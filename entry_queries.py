@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import adapters as shop
-from tidemart.functions.json_rows import json_variant
-from tidemart.functions.names import camel_columns
+from tidemart.functions.json_rows import json_variant, to_topic
 from tidemart.functions.times import millis_to_text, text_to_millis
 from tidemart.functions.words import dictionary_words, register_split_words, split_words
 from tidemart.operators import keyword_stats as keyword_ops
@@ -20,7 +19,10 @@ from tidemart.operators.province_stats import province_stats
 from tidemart.plans import batch as plans
 from tidemart.session import shared_dir
 from tidemart.sources import changes as change_source
-from tidemart.sources.dimensions import change_rows, merge_changes
+from tidemart.sources.dimensions import DimensionStore, change_rows, merge_changes
+from tidemart.sources.summaries import SummarySink
+from tidemart.sources.topics import Topics
+from tidemart.streaming.jobs import Warehouse
 
 AS_OF = "2024-06-01"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,8 +137,23 @@ def join_user_inner(spark, d):
 
 
 def dim_lookup(spark, d):
-    """A point read by key, names in camelCase."""
-    return camel_columns(shop.skus(spark, d).where("id = '17'"))
+    """A point read by key through the store, names in camelCase: all skus are in the base but for
+    their prices, which come in a later batch."""
+    skus = shop.skus(spark, d)
+    store = DimensionStore(spark, shared_dir(spark))
+    store.create("dim_sku_info", skus.columns)
+
+    def batch(number: int, kind: str, **values: Column) -> None:
+        data = F.create_map(*[x for name, v in values.items() for x in (F.lit(name), v)])
+        store.upsert("dim_sku_info", skus.select(
+            F.lit(kind).alias("type"), data.alias("data"), F.lit(None).cast(
+                "map<string,string>").alias("before"), F.lit(number).cast("bigint").alias("seq")),
+            number)
+
+    batch(0, "insert", **{c: F.lit("old") if c == "price" else F.col(c) for c in skus.columns})
+    store.compact("dim_sku_info")
+    batch(1, "update", id=F.col("id"), price=F.col("price"))
+    return store.lookup("dim_sku_info", "17", camel=True)
 
 
 # --- summaries ---------------------------------------------------------------------
@@ -188,8 +205,7 @@ def keyword_stats_udtf(spark, d):
 
 def keyword_stats_dictionary(spark, d):
     search = keyword_ops.search_rows(shop.search_log(spark, d))
-    return keyword_ops.keyword_stats(search, "1 day", dictionary=shop.dictionary(spark, d),
-                                     longest=6, shortest=3)
+    return keyword_ops.keyword_stats(search, "1 day", dictionary=shop.dictionary(spark, d))
 
 
 def search_rows(spark, d):
@@ -204,7 +220,7 @@ def split_words_query(spark, d):
 
 def dictionary_words_query(spark, d):
     return dictionary_words(shop.table(spark, d, "documents").select("lang", "text"), "text",
-                            shop.dictionary(spark, d), longest=6, shortest=3)
+                            shop.dictionary(spark, d))
 
 
 # --- logs and visits ------------------------------------------------------------------
@@ -368,6 +384,43 @@ def _upsert(spark, d, on_delete):
                          ["id", "name", "segment", "gender", "extra"])
 
 
+def customer_changes(spark, d):
+    return changes(spark, d).where(F.col("table").startswith("table_"))
+
+
+def dim_upsert_compacted(spark, d):
+    """Updates and deletes arrive first and are folded into the base; the older inserts come late."""
+    store = DimensionStore(spark, shared_dir(spark))
+    store.create("dim_customer", ["id", "name", "segment", "gender"])
+    rows = customer_changes(spark, d)
+    store.upsert("dim_customer", rows.where("type <> 'insert'"), 0, on_delete="remove")
+    store.compact("dim_customer")
+    store.upsert("dim_customer", rows.where("type = 'insert'"), 1, on_delete="remove")
+    store.compact("dim_customer")
+    return store.read("dim_customer")
+
+
+def dim_upsert_two_rules(spark, d):
+    """Two rules with columns of their own for one table, named in two ways; the second rule comes
+    when the table is there."""
+    store = DimensionStore(spark, shared_dir(spark))
+    rows = customer_changes(spark, d)
+    sources = rows.select(F.col("table").alias("source_table")).distinct()
+
+    def rule(kind: str, target: str, columns: str) -> DataFrame:
+        return sources.select(
+            "source_table", F.lit(kind).alias("operate_type"), F.lit("hbase").alias("sink_type"),
+            F.lit(target).alias("sink_table"), F.lit(columns).alias("sink_columns"),
+            F.lit("id").alias("sink_pk"))
+
+    first = rule("insert", "dim_customer", "id,name")
+    both = first.union(rule("update", "DIM_Customer", "id,segment,gender"))
+    for batch_id, (kind, active) in enumerate((("insert", first), ("update", both))):
+        store.create_missing(active)
+        store.put(routing.route(rows.where(F.col("type") == kind), active), batch_id)
+    return store.read("dim_customer")
+
+
 # --- streams -------------------------------------------------------------------------------
 def stream_of(spark: SparkSession, d: str, name: str) -> DataFrame:
     """A test table as a stream of its files."""
@@ -430,6 +483,31 @@ def stream_province_stats(spark, d):
     return run_stream(province_stats(topic, view="order_wide_stream"), "stream_province_stats")
 
 
+def warehouse(spark: SparkSession, folder: str) -> Warehouse:
+    return Warehouse(spark, Topics(folder), DimensionStore(spark, f"{folder}/dims"),
+                     SummarySink(f"{folder}/sums"), f"{folder}/state", once=True)
+
+
+def stream_split_logs(spark, d):
+    """The log job as it runs: raw lines of a topic to the page topic, flags repaired."""
+    house = warehouse(spark, shared_dir(spark))
+    topics = house.topics
+    shop.log_lines(spark, d).select("value").write.text(topics.folder(house.names["raw_log"]))
+    house.split_logs().awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(topics.folder(house.names["page"]))
+    return logs.parse_logs(lines).select("common.mid", "common.is_new", "page.page_id", "ts")
+
+
+def stream_route_changes(spark, d):
+    """The routing job as it runs: raw changes of a topic to the fact topics."""
+    house = warehouse(spark, shared_dir(spark))
+    folder = house.topics.folder(house.names["raw_db"])
+    to_topic(changes(spark, d)).write.text(folder)
+    house.route_changes(lambda: shop.rule_changes(spark, d)).awaitTermination()
+    return (spark.read.option("basePath", house.topics.root)
+            .text(f"{house.topics.root}/topic=dwd_*").select("topic", "value"))
+
+
 def stream_unique_visitor(spark, d):
     first = run_stream(visits.unique_visitors(stream_pages(spark, d)), "stream_unique_visitor")
     return first.where(F.col("ts") < 4102444800000).select(
@@ -521,6 +599,10 @@ QUERIES: dict[str, Query] = {
     "fact_payload": fact_payload,
     "dim_upsert": dim_upsert,
     "dim_upsert_remove": dim_upsert_remove,
+    "dim_upsert_compacted": dim_upsert_compacted,
+    "dim_upsert_two_rules": dim_upsert_two_rules,
+    "stream_split_logs": stream_split_logs,
+    "stream_route_changes": stream_route_changes,
     "stream_order_join": stream_order_join,
     "stream_province_stats": stream_province_stats,
     "stream_unique_visitor": stream_unique_visitor,

@@ -147,7 +147,7 @@ CTE = {
         FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0""",
     "entry_word": r"""SELECT DISTINCT word FROM (
         SELECT unnest(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')) AS word FROM benchmark)
-        WHERE length(word) BETWEEN 3 AND 6""",
+        WHERE word <> ''""",
 }
 WORDS = r"unnest(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'))"
 
@@ -229,7 +229,7 @@ CUTS = r"""runs AS (SELECT {group}, run, count(*) AS copies FROM (
         SELECT {group}, """ + WORDS.format("text") + r""" AS run FROM {source}) WHERE run <> '' GROUP BY ALL),
     starts AS (SELECT *, unnest(generate_series(1, length(run))) AS pos FROM runs),
     cuts AS (SELECT {group}, copies, substr(run, pos, n) AS word
-        FROM starts, (SELECT unnest([3, 4, 5, 6]) AS n) WHERE pos + n - 1 <= length(run))"""
+        FROM starts, (SELECT DISTINCT length(word) AS n FROM entry_word) WHERE pos + n - 1 <= length(run))"""
 
 
 def _cuts(group: str, source: str) -> str:
@@ -427,4 +427,15 @@ ORACLE: dict[str, str] = {
     "dim_upsert_remove": _with("change", "").rstrip() + "," + UPSERT_CHANGED + """
         SELECT id, name, segment, gender, extra FROM merged
         WHERE key IS NULL OR key % 25 <> 0""",
+    "dim_upsert_compacted": _with("change", """SELECT id, name,
+        CASE WHEN key % 10 = 0 THEN 'CHANGED' ELSE segment END AS segment,
+        CASE WHEN key % 10 <> 0 THEN gender END AS gender
+        FROM change WHERE type = 'insert' AND "table" LIKE 'table_%' AND key % 25 <> 0"""),
+    "dim_upsert_two_rules": _with("change", """SELECT id, name,
+        CASE WHEN key % 10 = 0 THEN 'CHANGED' END AS segment, NULL::VARCHAR AS gender
+        FROM change WHERE type = 'insert' AND "table" LIKE 'table_%'"""),
+    "stream_split_logs": _with("logrow good", """SELECT mid, is_new, page_id, ts FROM (SELECT * REPLACE (
+        CASE WHEN is_new = '1' AND row_number() OVER (PARTITION BY mid, is_new ORDER BY ts, seq) > 1
+        THEN '0' ELSE is_new END AS is_new) FROM good) WHERE start IS NULL"""),
 }
+ORACLE["stream_route_changes"] = ORACLE["fact_payload"]

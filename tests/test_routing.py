@@ -132,6 +132,41 @@ def test_create_missing(spark, folder):
     assert store.create_missing(rules) == []
 
 
+def test_order_of_arrival_does_not_matter(spark, folder):
+    """The same changes in any order, with a compaction after any of them, give one table."""
+    rows = [(9, "update", {"id": "1", "name": "new9"}), (5, "insert", {"id": "1", "name": "old5", "type": "a"}),
+            (4, "insert", {"id": "2", "name": "gone", "type": "b"}), (7, "delete", {}),
+            (8, "update", {"id": "2", "type": "c"})]
+    def one(seq, kind, data):
+        return spark.createDataFrame(
+            [(kind, data, {"id": "2"} if kind == "delete" else None, seq)],
+            "type string, data map<string,string>, before map<string,string>, seq bigint")
+    for at, order in enumerate(([0, 1, 2, 3, 4], [4, 3, 2, 1, 0], [3, 1, 4, 0, 2])):
+        store = DimensionStore(spark, f"{folder}/{at}")
+        store.create("t", ["id", "name", "type"])
+        for batch_id, i in enumerate(order):
+            store.upsert("t", one(*rows[i]), batch_id, on_delete="remove")
+            if batch_id % 2 == at % 2:
+                store.compact("t")
+        assert values(store.read("t"), "id", "name", "type") == [
+            ("1", "new9", "a"), ("2", None, "c")]
+        assert values(store.lookup("t", "2"), "type") == [("c",)]
+
+
+def test_table_grows_with_its_rules(spark, folder):
+    store = DimensionStore(spark, folder)
+    store.create("t", ["id", "name"])
+    store.upsert("t", changes(spark, ("u", "insert", {"id": "1", "name": "a"}, None)), 0)
+    store.compact("t")
+    assert store.grow("t", ["id", "phone"]) == ["phone"] and store.grow("t", ["phone"]) == []
+    assert values(store.read("t"), "id", "name", "phone") == [("1", "a", None)]
+    store.upsert("t", changes(spark, ("x", "x", {}, None),
+                              ("u", "update", {"id": "1", "phone": "5"}, None)), 1)
+    assert values(store.read("t"), "id", "name", "phone") == [("1", "a", "5")]
+    plan = store.lookup("t", "1")._jdf.queryExecution().toString()
+    assert "EqualTo(_key,1)" in plan and "EqualTo(key,1)" in plan
+
+
 def test_deletes(spark):
     stored = frame(spark, schemas.dimension(["id", "name"]), [{"id": "1", "name": "a"},
                                                               {"id": "2", "name": "b"}])

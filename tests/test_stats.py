@@ -109,7 +109,7 @@ def test_keyword_stats(spark):
     assert values(keyword_ops.keyword_stats(search, splitter="split_words"),
                   "keyword", "ct", "stt") == want
     dictionary = spark.createDataFrame([("ed",), ("sho",)], "word string")
-    found = keyword_ops.keyword_stats(search, "1 day", dictionary=dictionary, longest=3)
+    found = keyword_ops.keyword_stats(search, "1 day", dictionary=dictionary)
     assert values(found, "keyword", "ct") == [("ed", 4), ("sho", 1)]
 
 
@@ -118,7 +118,7 @@ def test_words_of_many_alphabets(spark):
     assert sorted(r.word for r in split_words(df, "t").collect()) == sorted(
         ["élan", "naïve", "x", "42", "我爱我的祖国"])
     dictionary = spark.createDataFrame([("祖国",), ("我",), ("爱",), ("国家",)], "word string")
-    found = {r.word: r.ct for r in dictionary_words(df, "t", dictionary, longest=2).collect()}
+    found = {r.word: r.ct for r in dictionary_words(df, "t", dictionary).collect()}
     assert found == {"祖国": 1, "我": 2, "爱": 1}
 
 
@@ -129,8 +129,17 @@ def test_long_runs_are_cut_without_gaps(spark):
     want = {w: sum(text.startswith(w, i) for i in range(len(text))) for w in words}
     df = spark.createDataFrame([(1, text + " " + text)], "id int, t string")
     dictionary = spark.createDataFrame([(w,) for w in words], "word string")
-    counted = dictionary_words(df, "t", dictionary, longest=5, shortest=2)
+    counted = dictionary_words(df, "t", dictionary)
     assert {r.word: r.ct for r in counted.collect()} == {w: 2 * n for w, n in want.items()}
-    placed = dictionary_matches(df, "t", dictionary, longest=5, shortest=2)
+    placed = dictionary_matches(df, "t", dictionary)
     again = placed.groupBy("word").agg(F.count("*").alias("ct"))
     assert {r.word: r.ct for r in again.collect()} == {w: 2 * n for w, n in want.items()}
+
+
+def test_dictionary_words_of_any_length(spark):
+    long = "x" * 300 + "y"
+    df = spark.createDataFrame([(1, f"abcdefghij {long}")], "id int, t string")
+    dictionary = spark.createDataFrame([("abcdefghij",), ("abc",), ("j",), (long,), ("",)], "word string")
+    assert values(dictionary_words(df, "t", dictionary), "word", "ct") == [
+        ("abc", 1), ("abcdefghij", 1), ("j", 1), (long, 1)]
+    assert dictionary_words(df, "t", dictionary.where("false")).count() == 0

@@ -135,8 +135,24 @@ def test_flags_across_batches_and_replays(spark, folder):
         ("c", "0"), ("d", "1")]
 
 
-def test_console_writer(spark, folder, paged):
-    assert console(paged[1]) is not None
+def test_replayed_batch_reaches_a_stream_reader_once(spark, folder):
+    topics = Topics(folder, files_per_trigger=1)
+    lines = spark.createDataFrame([("t", "a"), ("u", "b")], "topic string, value string")
+    got = 0
+    for _ in range(2):
+        topics.put_routed(lines, 0)
+        query = (topics.read(spark, "t").writeStream.format("parquet")
+                 .option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/at")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        got = spark.read.parquet(f"{folder}/out").count()
+    assert got == 1
+
+
+def test_console_shows_rows(spark, folder, paged):
+    query = console(paged[1]).option("checkpointLocation", folder).trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert query.exception() is None and query.lastProgress["numInputRows"] > 0
 
 
 def test_kafka_options():

@@ -26,52 +26,65 @@ def split_words(df: DataFrame, text: str, word: str = "word") -> DataFrame:
     return df.select(*rest, F.explode(words(F.col(text))).alias(word))
 
 
-def _cuts(runs: DataFrame, run: str, shortest: int, longest: int, word: str) -> DataFrame:
-    """Every substring of `shortest` to `longest` letters of every run.
+def _lengths(words: DataFrame, word: str) -> tuple[int, int]:
+    """Shortest and longest word; of an empty dictionary (1, 1)."""
+    found = words.agg(F.min(F.length(word)).alias("low"), F.max(F.length(word)).alias("high")).first()
+    return found.low or 1, found.high or 1
 
-    A run is first cut into pieces that overlap by `longest - 1` letters, so the work stays
+
+def _places(runs: DataFrame, run: str, dictionary: DataFrame, word: str) -> DataFrame:
+    """One row per place where a dictionary word stands in a run, words of any length.
+
+    Each letter of a run is one place. The letters from it on that the shortest word has are its
+    seed; only a place whose seed begins some word goes on, with the lengths of those words. A run
+    is first cut into pieces that overlap by one letter less than the longest word, so the work stays
     in proportion to its length even for a run that is a whole book.
     """
     rest = [c for c in runs.columns if c != run]
+    words = dictionary.select(word).where(F.length(word) > 0).distinct()
+    shortest, longest = _lengths(words, word)
     size = F.length(run)
-    last = F.floor((size - 1) / PIECE).cast("int")
+    step = max(PIECE, longest)
+    last = F.floor((size - 1) / step).cast("int")
     pieces = runs.select(*rest, run, F.explode(F.sequence(F.lit(0), last)).alias("at"))
     pieces = pieces.select(
-        *rest, F.least(F.lit(PIECE), size - F.col("at") * PIECE).alias("starts"),
-        F.substring(F.col(run), F.col("at") * PIECE + 1, F.lit(PIECE + longest - 1)).alias("piece"))
-    starts = pieces.select(*rest, "piece",
-                           F.explode(F.sequence(F.lit(1), F.col("starts"))).alias("start"))
-    room = F.length("piece") - F.col("start") + 1
-    starts = starts.where(room >= shortest)
-    lengths = F.sequence(F.lit(shortest), F.least(F.lit(longest), room))
-    return starts.select(*rest, F.explode(F.transform(
-        lengths, lambda n: F.substring(F.col("piece"), F.col("start"), n))).alias(word))
-
-
-def dictionary_matches(df: DataFrame, text: str, dictionary: DataFrame, longest: int,
-                       shortest: int = 1, word: str = "word") -> DataFrame:
+        *rest, F.least(F.lit(step), size - F.col("at") * step).alias("starts"),
+        F.substring(F.col(run), F.col("at") * step + 1, F.lit(step + longest - 1)).alias("piece"))
+    starts = F.transform(F.sequence(F.lit(1), F.col("starts")),
+                         lambda n: F.substring(F.col("piece"), n, F.lit(longest)))
+    places = pieces.select(*rest, F.explode(starts).alias("tail"))
+    places = places.where(F.length("tail") >= shortest).withColumn(
+        "seed", F.substring("tail", 1, shortest))
+    seeds = words.groupBy(F.substring(word, 1, shortest).alias("seed")).agg(
+        F.collect_set(F.length(word)).alias("lengths"))
+    fitting = F.filter("lengths", lambda n: n <= F.length("tail"))
+    cuts = places.join(seeds, "seed").select(*rest, F.explode(F.transform(
+        fitting, lambda n: F.substring(F.col("tail"), F.lit(1), n))).alias(word))
+    return cuts.join(words, word, "left_semi")
+
+
+def dictionary_matches(df: DataFrame, text: str, dictionary: DataFrame,
+                       word: str = "word") -> DataFrame:
     """One row per place where a dictionary word stands in a text; no state, so fit for streams.
 
-    For text written without spaces. `dictionary` has one column named as `word`; `longest`
-    and `shortest` are the lengths of its longest and shortest entry. Words inside other words are found as well.
+    For text written without spaces. `dictionary` has one column named as `word`. Words inside
+    other words are found as well.
     """
-    cuts = _cuts(split_words(df, text, "run"), "run", shortest, longest, word)
-    return cuts.join(dictionary.select(word).distinct(), word, "left_semi")
+    return _places(split_words(df, text, "run"), "run", dictionary, word)
 
 
-def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame, longest: int,
-                     shortest: int = 1, word: str = "word", count: str = "ct") -> DataFrame:
+def dictionary_words(df: DataFrame, text: str, dictionary: DataFrame,
+                     word: str = "word", count: str = "ct") -> DataFrame:
     """Number of places of every dictionary word, per group of the other columns.
 
     Equal runs of letters are counted before they are cut, so each distinct run is cut only
-    once per group, and equal cuts are counted before they meet the dictionary.
+    once per group; what is no dictionary word is left out before the counts are added up.
     """
     rest = [c for c in df.columns if c != text]
     runs = (split_words(df, text, "run").groupBy(*rest, "run")
             .agg(F.count(F.lit(1)).alias("copies")))
-    counted = (_cuts(runs, "run", shortest, longest, word).groupBy(*rest, word)
-               .agg(F.sum("copies").alias(count)))
-    return counted.join(dictionary.select(word).distinct(), word, "left_semi")
+    return (_places(runs, "run", dictionary, word).groupBy(*rest, word)
+            .agg(F.sum("copies").alias(count)))
 
 
 @udtf(returnType="word string")

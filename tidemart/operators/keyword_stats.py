@@ -44,12 +44,11 @@ def search_words(search: DataFrame, splitter: str | None = None,
 
 
 def keyword_stats(search: DataFrame, width: str = "10 seconds", splitter: str | None = None,
-                  dictionary: DataFrame | None = None, longest: int = 8, shortest: int = 1,
-                  source: str = codes.KEYWORD_SOURCE["search"],
+                  dictionary: DataFrame | None = None, source: str = codes.KEYWORD_SOURCE["search"],
                   view: str = "search_words") -> DataFrame:
     """Number of searches per tumbling window and word."""
     if dictionary is not None:
-        words = dictionary_matches(search, "fullWords", dictionary, longest, shortest)
+        words = dictionary_matches(search, "fullWords", dictionary)
     else:
         words = search_words(search, splitter)
     words.createOrReplaceTempView(view)

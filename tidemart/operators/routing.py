@@ -30,11 +30,13 @@ def nonempty_changes(changes: DataFrame) -> DataFrame:
 def latest_rules(changes: DataFrame) -> DataFrame:
     """Newest rule per source table and operation, from the changes of the rule table.
 
-    A delete carries its key in `before` and takes the rule out.
+    A delete carries its key in `before` and takes the rule out. Of changes with one number a delete
+    counts last, others by their content.
     """
     row = F.when(F.col("type") == "delete", F.col("before")).otherwise(F.col("data"))
     rules = changes.select(*[row[c].alias(c) for c in schemas.RULE_COLUMNS], "type", "seq")
-    newest = Window.partitionBy("source_table", "operate_type").orderBy(F.desc("seq"))
+    newest = Window.partitionBy("source_table", "operate_type").orderBy(
+        F.desc("seq"), F.desc(F.col("type") == "delete"), *[F.desc(c) for c in schemas.RULE_COLUMNS])
     return (rules.withColumn("rank", F.row_number().over(newest))
             .where("rank = 1 AND type <> 'delete'")
             .select(*schemas.RULE_COLUMNS))
@@ -73,8 +75,7 @@ def unrouted(changes: DataFrame, rules: DataFrame) -> DataFrame:
     served = rules.where(F.col("sink_type").isin(codes.SINK_TYPE["fact"],
                                                  codes.SINK_TYPE["dimension"]))
     on = [changes["table"] == served["source_table"], changes["type"] == served["operate_type"]]
-    return changes.join(served, on, "left").where("source_table IS NULL").select(*[
-        changes[c] for c in changes.columns])
+    return changes.join(served, on, "left_anti")
 
 
 def fact_payload(facts: DataFrame) -> DataFrame:

@@ -40,6 +40,9 @@ CHANGE = struct(
 # A change as a dimension table keeps it.
 KEYED_CHANGE = struct(key=_TEXT, seq=_LONG, type=_TEXT, data=_TEXTS)
 
+# The columns of a stored dimension, in order.
+STORED_COLUMN = struct(position=_LONG, name=_TEXT)
+
 # First row flagged new, per device.
 FIRST_VISIT = struct(mid=_TEXT, ts=_LONG)
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from tidemart.sources.files import exists, folders
+from tidemart.sources.files import exists, folders, remove_folder
 
 
 @dataclass(frozen=True)
@@ -16,41 +16,72 @@ class BatchTable:
 
     A replayed batch overwrites its own folder, so every batch counts once. A reader sees the
     newest finished base and the batches after it; nothing it may be reading is changed.
+
+    `filled` names the folder of the batches where another writer fills it. Such folders appear
+    whole, by a rename, and carry no mark of their own.
     """
 
     spark: SparkSession
     path: str
     schema: T.StructType
+    filled: str | None = None
+
+    @property
+    def _batches(self) -> str:
+        return self.filled or f"{self.path}/batches"
+
+    def _batch_ids(self) -> list[int]:
+        return sorted(int(name.split("=")[1]) for name in folders(self.spark, self._batches)
+                      if name.startswith("batch="))
+
+    def _bases(self) -> list[int]:
+        return sorted(int(name.split("=")[1]) for name in folders(self.spark, f"{self.path}/base")
+                      if exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"))
+
+    def _finished(self, batch_id: int) -> bool:
+        folder = f"{self._batches}/batch={batch_id}"
+        return exists(self.spark, folder if self.filled else f"{folder}/_SUCCESS")
 
     def append(self, rows: DataFrame, batch_id: int) -> None:
         rows.select(*self.schema.names).write.mode("overwrite").parquet(
-            f"{self.path}/batches/batch={batch_id}")
+            f"{self._batches}/batch={batch_id}")
+
+    def has(self, batch_id: int) -> bool:
+        return self._finished(batch_id)
 
     def base(self) -> tuple[int, DataFrame | None]:
-        done = [int(name.split("=")[1]) for name in folders(self.spark, f"{self.path}/base")
-                if exists(self.spark, f"{self.path}/base/{name}/_SUCCESS")]
+        done = self._bases()
         if not done:
             return -1, None
-        return max(done), self.spark.read.parquet(f"{self.path}/base/upto={max(done)}")
+        return done[-1], self.spark.read.parquet(f"{self.path}/base/upto={done[-1]}")
 
     def batches(self, after: int = -1, before: int | None = None) -> DataFrame:
         """Rows of the batches after one and before another."""
-        wanted = [name for name in folders(self.spark, f"{self.path}/batches")
-                  if int(name.split("=")[1]) > after
-                  and (before is None or int(name.split("=")[1]) < before)
-                  and exists(self.spark, f"{self.path}/batches/{name}/_SUCCESS")]
+        wanted = [n for n in self._batch_ids()
+                  if n > after and (before is None or n < before) and self._finished(n)]
         if not wanted:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(
-            *[f"{self.path}/batches/{name}" for name in wanted])
+            *[f"{self._batches}/batch={n}" for n in wanted])
 
     def has_batches(self, after: int) -> bool:
-        return any(int(name.split("=")[1]) > after
-                   for name in folders(self.spark, f"{self.path}/batches"))
+        return self.last_batch() > after
 
     def write_base(self, rows: DataFrame, upto: int) -> None:
+        """A new base. The one before it, and the batches since then, stay for readers that have
+        begun with them; what is older goes."""
         rows.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
+        done = self._bases()
+        if len(done) > 1:
+            for old in done[:-2]:
+                remove_folder(self.spark, f"{self.path}/base/upto={old}")
+            self.forget(done[-2] + 1)
+
+    def forget(self, before: int) -> None:
+        """Remove the folders of the batches before one."""
+        for n in self._batch_ids():
+            if n < before:
+                remove_folder(self.spark, f"{self._batches}/batch={n}")
 
     def last_batch(self) -> int:
-        return max([int(name.split("=")[1]) for name in folders(self.spark, f"{self.path}/batches")],
-                   default=-1)
+        return max(self._batch_ids(), default=-1)

@@ -26,3 +26,14 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(target):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
+def holding_batch(spark: SparkSession, root: str, column: str, batch_id: int) -> list[str]:
+    """Values of a partition column that already hold the folder of one micro-batch."""
+    return [name.split("=", 1)[1] for name in folders(spark, root)
+            if name.startswith(f"{column}=") and exists(spark, f"{root}/{name}/batch={batch_id}")]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemart.sources.files import make_folder
+from tidemart.sources.files import holding_batch, make_folder
 
 
 @dataclass(frozen=True)
@@ -65,12 +65,16 @@ class Topics:
     def put_routed(self, lines: DataFrame, batch_id: int) -> None:
         """Write one micro-batch, each row to the topic it names.
 
-        Files: a replayed batch overwrites its own folders, so rows land exactly once.
-        Kafka: at least once.
+        Files: the folder of one batch of one topic appears whole and never changes; a replay
+        leaves it as it is, so stream readers get every row once. A stream with a new checkpoint
+        needs new topics. Kafka: at least once.
         """
         if self.kafka:
             lines.select("topic", "value").write.format("kafka").options(**self.kafka).save()
             return
+        done = holding_batch(lines.sparkSession, self.root.rstrip("/"), "topic", batch_id)
+        if done:
+            lines = lines.where(~F.col("topic").isin(done))
         (lines.select("topic", F.lit(batch_id).alias("batch"), "value")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("topic", "batch").text(self.root))

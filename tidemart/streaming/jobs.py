@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemart import codes, schemas
+from tidemart import schemas
 from tidemart.functions.json_rows import parse_topic, to_topic
 from tidemart.operators import keyword_stats as keyword_ops
 from tidemart.operators import logs as log_ops
@@ -25,6 +25,7 @@ from tidemart.operators import visitor_stats as visitor_ops
 from tidemart.operators import visits
 from tidemart.operators.dims import product_dimension
 from tidemart.operators.payments import join_payments
+from tidemart.sources.batches import BatchTable
 from tidemart.sources.changes import normalise_changes, read_envelopes
 from tidemart.sources.dimensions import DimensionStore
 from tidemart.sources.summaries import SummarySink
@@ -59,7 +60,8 @@ class Warehouse:
     stream-stream joins. `lag` is how far a topic may run behind others that feed the same
     summary, and, unless `delay` says otherwise, how far out of order the rows of joined topics may
     come: a row reaches it through one to three micro-batches of other jobs, and one that comes
-    after the watermark is lost. `once` drains the topics and stops; otherwise queries keep
+    after the watermark is lost. Stored changes and first visits are
+    folded into a new base after every `fold_every` micro-batches. `once` drains the topics and stops; otherwise queries keep
     running.
     """
 
@@ -78,6 +80,7 @@ class Warehouse:
     as_of: str | None = None
     once: bool = False
     interval: str | None = None
+    fold_every: int = 100
     names: dict[str, str] = field(default_factory=lambda: dict(TOPICS))
 
     # -- plumbing -----------------------------------------------------------
@@ -99,6 +102,9 @@ class Warehouse:
             self.summaries.put(batch, SUMMARIES[summary], columns, batch_id)
         return self._start(each_batch(rows, work), job)
 
+    def _folds(self, batch_id: int) -> bool:
+        return batch_id % self.fold_every == self.fold_every - 1
+
     def _dimension(self, name: str) -> DataFrame:
         return self.dimensions.read(DIMENSIONS[name])
 
@@ -133,6 +139,8 @@ class Warehouse:
                     "dirty": log_ops.dirty_lines(batch).select("value")}
                 for name, lines in branches.items():
                     self.topics.put(lines, self.names[name], batch_id)
+                if self._folds(batch_id):
+                    visits_seen.compact()
             finally:
                 if logs is not None:
                     logs.unpersist()
@@ -143,29 +151,29 @@ class Warehouse:
         """Raw changes to fact topics and dimension tables.
 
         `rule_changes` is a callable that gives the changes of the rule table so far; it is
-        called for every micro-batch, so a new rule counts from the next batch on.
+        called for every micro-batch, so a new rule counts from the next batch on. The rules of a
+        batch are written down before they are used: a replay routes by the same ones.
         """
+        noted = BatchTable(self.spark, f"{self.state.rstrip('/')}/rules",
+                           schemas.dimension(schemas.RULE_COLUMNS))
+
         def work(batch: DataFrame, batch_id: int) -> None:
-            rules = routing.latest_rules(rule_changes())
+            if not noted.has(batch_id):
+                noted.append(routing.latest_rules(rule_changes()), batch_id)
+            rules = noted.batches(after=batch_id - 1, before=batch_id + 1)
             self.dimensions.create_missing(rules)
             routed = routing.route(routing.nonempty_changes(routing.parse_changes(batch)), rules)
             routed = routed.persist()
             try:
                 self.topics.put_routed(
                     routing.fact_payload(routing.fact_branch(routed)), batch_id)
-                dims = routing.dimension_branch(routed)
-                # One turn per dimension table: their number is a matter of configuration.
-                wanted: dict[str, set[str]] = {}
-                for rule in rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"]) \
-                        .select("sink_table", "sink_pk").distinct().collect():
-                    wanted.setdefault(rule.sink_table.lower(), set()).add(rule.sink_pk or "id")
-                for table, keys in wanted.items():
-                    own = dims.where(F.lower("sink_table") == table)
-                    self.dimensions.upsert_keyed(table, {
-                        k: own.where(F.coalesce("sink_pk", F.lit("id")) == k) for k in sorted(keys)},
-                        batch_id, self.on_delete)
+                self.dimensions.put(routing.dimension_branch(routed), batch_id, self.on_delete)
             finally:
                 routed.unpersist()
+            if self._folds(batch_id):
+                for table in self.dimensions.tables():
+                    self.dimensions.compact(table)
+            noted.forget(before=batch_id)
         return self._start(each_batch(self._read("raw_db"), work), "route_changes")
 
     # -- wide layer -----------------------------------------------------------
@@ -227,10 +235,9 @@ class Warehouse:
                                columns, batch_id)
         return self._start(each_batch(stats, work), "province_stats")
 
-    def keyword_stats(self, dictionary: DataFrame | None = None, longest: int = 8) -> StreamingQuery:
+    def keyword_stats(self, dictionary: DataFrame | None = None) -> StreamingQuery:
         search = keyword_ops.search_rows(self._rows("page", schemas.LOG_MAPS), self.lag)
-        stats = keyword_ops.keyword_stats(search, self.width, dictionary=dictionary,
-                                          longest=longest)
+        stats = keyword_ops.keyword_stats(search, self.width, dictionary=dictionary)
         columns = schemas.KEYWORD_STATS_COLUMNS
 
         def work(batch: DataFrame, batch_id: int) -> None:
