@@ -528,7 +528,8 @@ def stream_page_stats(spark, d):
 
 
 def stream_product_stats(spark, d):
-    """Orders, favourites, pages and comments as streams, with distinct order counts."""
+    """Pages and order lines as streams, with distinct order counts; the other five inputs of the
+    statistics are not part of it."""
     lines = later(shop.order_detail_of(stream_of(spark, d, "lineitem")), "order_id", "create_time")
     measures = product_stats.page_measures(stream_pages(spark, d)).unionByName(
         product_stats.order_measures(lines))

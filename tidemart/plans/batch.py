@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemart import schemas
 from tidemart.operators import logs as log_ops
 from tidemart.operators import orders as order_ops
 from tidemart.operators import product_stats as product_ops
@@ -67,18 +68,16 @@ def product_stats(pages: DataFrame, favors: DataFrame, carts: DataFrame, orders:
                   width: str = "10 seconds", saved: str | None = None) -> DataFrame:
     """Wide rows serve orders and payments without their dimensions: those join afterwards.
 
-    With `saved`, a shared folder, orders are joined to their details once and read from there.
+    With `saved`, a shared folder, orders are joined to their details once: the five columns that
+    the measures need are written there and read twice.
     """
-    wide = order_ops.join_order_details(orders, details)
+    wide = order_ops.join_order_details(orders, details).select(
+        "order_id", "sku_id", "sku_num", "split_total_amount", "create_time")
     if saved:
         wide.write.mode("overwrite").parquet(saved)
         wide = orders.sparkSession.read.schema(wide.schema).parquet(saved)
-    blank = {c: F.lit(None).cast(t) for c, t in (
-        ("province_name", "string"), ("province_area_code", "string"),
-        ("province_iso_code", "string"), ("province_3166_2_code", "string"),
-        ("user_age", "int"), ("user_gender", "string"), ("spu_id", "bigint"),
-        ("tm_id", "bigint"), ("category3_id", "bigint"), ("spu_name", "string"),
-        ("tm_name", "string"), ("category3_name", "string"))}
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in schemas.ORDER_WIDE
+             if f.name not in wide.columns}
     paid = join_payments(payments, wide.withColumns(blank))
     measures = product_ops.product_measures(pages, favors, carts, wide, paid, refunds, comments)
     return product_ops.enrich_product_stats(
