@@ -75,7 +75,10 @@ def unrouted(changes: DataFrame, rules: DataFrame) -> DataFrame:
     served = rules.where(F.col("sink_type").isin(codes.SINK_TYPE["fact"],
                                                  codes.SINK_TYPE["dimension"]))
     on = [changes["table"] == served["source_table"], changes["type"] == served["operate_type"]]
-    return changes.join(served, on, "left_anti")
+    # No anti join: Spark pushes one below a union, and where a part has one table and one type
+    # only, that leaves no key to join by.
+    return changes.join(served, on, "left").where("source_table IS NULL").select(*[
+        changes[c] for c in changes.columns])
 
 
 def fact_payload(facts: DataFrame) -> DataFrame:
