@@ -128,8 +128,11 @@ def test_roles_are_recovered(spark):
     assert found.count() == chats.count() and right / chats.count() > 0.97
 
 
-def test_pieces_of_a_transcript_are_solved_as_one(spark):
-    """A long transcript, spread over groups, equals Viterbi over all its lines."""
+@pytest.mark.parametrize("together, fan", [(64, 64), (8, 2)])
+def test_pieces_of_a_transcript_are_solved_as_one(spark, monkeypatch, together, fan):
+    """A long transcript, spread over a tree of groups, equals Viterbi over all its lines."""
+    monkeypatch.setattr(transcripts, "ROWS_TOGETHER", together)
+    monkeypatch.setattr(transcripts, "FAN", fan)
     rng = np.random.default_rng(4)
     rows = [(1, i, r, t) for i, (r, t) in enumerate(itertools.islice(itertools.cycle([
         ("user", "Why is it?"), ("assistant", "Because it is so, in all likelihood."),
@@ -176,6 +179,16 @@ def test_odd_transcripts(spark):
     assert transcripts.parse(none, transcripts.fit(none)).count() == 0
 
 
+def test_rows_of_one_turn_are_spread_over_groups(spark):
+    raw = chats_of(spark, [(1, None, None, "Q: why")] * 300 + [(1, 3, "user", "A: so")] * 300
+                   + [(None, 1, "user", "hm")] * 100)
+    groups = transcripts.placed_in_order(raw, "conv_id", "turn", "text").groupBy("conv", "group")
+    sizes = [r["count"] for r in groups.count().collect()]
+    assert sum(sizes) == 700 and max(sizes) <= transcripts.ROWS_TOGETHER
+    found = transcripts.parse(raw, transcripts.fit(raw))
+    assert found.where("part = 0").count() == 700
+
+
 # --- registered queries ------------------------------------------------------------------
 def test_every_operator_is_registered():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,7 +24,8 @@ MARKERS = {
 KINDS = {name: kind for kind, names in MARKERS.items() for name in names}
 MARKER = re.compile(r"\s*(?:#{1,4}\s*|\*\*|\[|<\|?)?([A-Za-z]{1,12})(?:\*\*|\]|\|?>)?\s*:(?:\*\*)?\s*"
                     r"|\s*(?:#{2,4}\s*|\[|<\|)([A-Za-z]{1,12})(?:\]|\|>)?\s*$")
-ROWS_TOGETHER = 64      # rows of a transcript that one group of the search holds
+ROWS_TOGETHER = 64      # rows of a transcript that one group of the search holds, at the most
+FAN = 64                # neighbouring sums that are made one
 
 
 def observe(line: str) -> tuple[str, int, str]:
@@ -188,69 +189,112 @@ def fit(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
                      {k[1:]: v for k, v in chance.items() if k[0] == "feature"}, floor)
 
 
+def placed_in_order(rows: DataFrame, conv: str, turn: str, text: str) -> DataFrame:
+    """(conv, turn, text, place, group): places from 0 in the order of all transcripts, without gaps.
+
+    Rows are sorted by ranges of (transcript, turn, hash of the text, where they stood), so that
+    neither a long transcript nor equal rows are gathered in one task. A group is a transcript's
+    share of ROWS_TOGETHER places.
+    """
+    keys = ("conv", F.col("turn").asc_nulls_first(), "tie", "stood")
+    ranged = rows.select(
+        F.col(conv).alias("conv"), F.col(turn).alias("turn"), F.col(text).alias("text"),
+        F.xxhash64(text).alias("tie"), F.monotonically_increasing_id().alias("stood")
+    ).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # monotonically_increasing_id: the task in the upper bits, its rows counted in the lower 33
+    held = saved(ranged.select("conv", "turn", "text",
+                               F.monotonically_increasing_id().alias("id")), "transcripts")
+    task = F.shiftright("id", 33).alias("task")
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    begins = held.groupBy(task).agg(F.count(F.lit(1)).alias("n")).select(
+        "task", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
+    # one row per task of the sort
+    held = held.withColumn("task", task).join(F.broadcast(begins), "task")
+    place = F.col("begin") + F.col("id").bitwiseAND(F.lit((1 << 33) - 1))
+    return held.select("conv", "turn", "text", place.alias("place"),
+                       F.floor(place / ROWS_TOGETHER).cast("bigint").alias("group"))
+
+
+def joined_up(first: np.ndarray, then: np.ndarray) -> np.ndarray:
+    """Best weights over two stretches one after the other; `first` may be a vector or a matrix."""
+    return (first[..., :, None] + then).max(axis=-2)
+
+
+def ends_of(openings: list[np.ndarray], weights: list[np.ndarray], before: int | None,
+            last: int | None) -> list[int]:
+    """The last role of each stretch on the best path from `before` to `last`; None: any."""
+    best, back = openings[0] if before is None else weights[0][before], []
+    for w in weights[1:]:
+        both = best[:, None] + w
+        back.append(both.argmax(axis=0))
+        best = both.max(axis=0)
+    ends = [int(best.argmax()) if last is None else last]
+    for came in reversed(back):
+        ends.append(int(came[ends[-1]]))
+    return ends[::-1]
+
+
 def parse(rows: DataFrame, model: RoleModel, conv: str = "conv_id", turn: str = "turn",
           text: str = "text") -> DataFrame:
     """(conv, turn, part, role, text, rendered): the turns that each row of a transcript holds.
 
-    Rows of a transcript are read in the order of `turn` (null first), equal ones by text; texts are
-    split into lines. Null and empty texts are one empty turn. The best path over a whole
-    transcript is found in pieces, so that a transcript of any length is spread over tasks: each
-    group of rows (ROWS_TOGETHER values of `turn`) is summed up as the best weight from role to role;
-    these sums are chained per transcript; each group is then solved between its fixed ends. Rows
-    that share one `turn` of one transcript are in one group.
+    Rows of a transcript are read in the order of `turn` (null first), equal ones by a hash of the
+    text; texts are split into lines. Null and empty texts are one empty turn. Rows without a
+    transcript's name are one transcript. No rows: no turns.
+
+    The best path over a whole transcript is found in a tree, so that a transcript of any length is
+    spread over tasks: a group of rows is summed up as the best weights from role to role, FAN
+    neighbouring sums as one, and so on until a transcript is one sum; from there the roles at the
+    ends are handed down, and each group of rows is solved between its own. No task holds more than
+    ROWS_TOGETHER rows or FAN sums of a group.
     """
-    whole = F.coalesce(F.floor(F.col(turn) / ROWS_TOGETHER), F.lit(-(1 << 62))).cast("bigint")
-    placed = saved(rows.select(F.col(conv).alias("conv"), F.col(turn).alias("turn"),
-                               F.col(text).alias("text"), whole.alias("group")), "transcripts")
+    placed = saved(placed_in_order(rows, conv, turn, text), "placed")
     n = len(model.roles)
-
-    def ordered(table: pa.Table) -> pa.Table:
-        keys = table.column("turn").to_pylist(), table.column("text").to_pylist()
-        order = sorted(range(table.num_rows), key=lambda i: (
-            keys[0][i] is not None, keys[0][i] or 0, keys[1][i] or ""))
-        return table.take(pa.array(order, pa.int64()))
-
-    def sum_up(table: pa.Table) -> pa.Table:
-        table = ordered(table)
-        lines = lines_of(model, table.column("text").to_pylist())
-        weights = passage(model, lines)
-        opening = model.start + lines[0].score
-        rest = passage(model, lines[1:])
-        opening = (opening[:, None] + rest).max(axis=0)
-        return pa.table({"conv": table.column("conv")[:1], "group": table.column("group")[:1],
+    key = placed.schema["conv"].dataType
+    fields = [T.StructField("conv", key), T.StructField("group", T.LongType())]
+    sum_schema = T.StructType([*fields, T.StructField("weights", T.ArrayType(T.DoubleType())),
+                               T.StructField("opening", T.ArrayType(T.DoubleType()))])
+    end_schema = T.StructType([*fields, T.StructField("before", T.IntegerType()),
+                               T.StructField("last", T.IntegerType())])
+
+    def summed(conv_column: pa.ChunkedArray, group: int, weights: np.ndarray, opening: np.ndarray
+               ) -> pa.Table:
+        return pa.table({"conv": conv_column[:1], "group": pa.array([group], pa.int64()),
                          "weights": pa.array([weights.ravel().tolist()], pa.list_(pa.float64())),
                          "opening": pa.array([opening.tolist()], pa.list_(pa.float64()))})
 
-    def chain(table: pa.Table) -> pa.Table:
+    def of_rows(table: pa.Table) -> pa.Table:
+        table = table.sort_by("place")
+        lines = lines_of(model, table.column("text").to_pylist())
+        opening = joined_up(model.start + lines[0].score, passage(model, lines[1:]))
+        return summed(table.column("conv"), table.column("group")[0].as_py(),
+                      passage(model, lines), opening)
+
+    def values(table: pa.Table) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        return ([np.array(x) for x in table.column("opening").to_pylist()],
+                [np.array(w).reshape(n, n) for w in table.column("weights").to_pylist()])
+
+    def of_sums(table: pa.Table) -> pa.Table:
         table = table.sort_by("group")
-        weights = [np.array(w).reshape(n, n) for w in table.column("weights").to_pylist()]
-        best, back = np.array(table.column("opening")[0].as_py()), []
+        openings, weights = values(table)
+        opening, total = openings[0], weights[0]
         for w in weights[1:]:
-            both = best[:, None] + w
-            back.append(both.argmax(axis=0))
-            best = both.max(axis=0)
-        ends = [int(best.argmax())]
-        for came in reversed(back):
-            ends.append(int(came[ends[-1]]))
-        ends.reverse()
+            opening, total = joined_up(opening, w), joined_up(total, w)
+        return summed(table.column("conv"), table.column("group")[0].as_py() // FAN, total, opening)
+
+    def hand_down(table: pa.Table, above: pa.Table) -> pa.Table:
+        table = table.sort_by("group")
+        before, last = above.column("before")[0].as_py(), above.column("last")[0].as_py()
+        ends = ends_of(*values(table), before, last)
         return pa.table({"conv": table.column("conv"), "group": table.column("group"),
-                         "before": pa.array([None, *ends[:-1]], pa.int32()),
+                         "before": pa.array([before, *ends[:-1]], pa.int32()),
                          "last": pa.array(ends, pa.int32())})
 
-    key = placed.schema["conv"].dataType
-    fields = [T.StructField("conv", key), T.StructField("group", T.LongType())]
-    sums = placed.groupBy("conv", "group").applyInArrow(sum_up, T.StructType([
-        *fields, T.StructField("weights", T.ArrayType(T.DoubleType())),
-        T.StructField("opening", T.ArrayType(T.DoubleType()))]))
-    ends = sums.groupBy("conv").applyInArrow(chain, T.StructType([
-        *fields, T.StructField("before", T.IntegerType()), T.StructField("last", T.IntegerType())]))
-    ends = ends.withColumnsRenamed({"conv": "c", "group": "g"})
-
-    def solve(table: pa.Table) -> pa.Table:
-        table = ordered(table)
+    def solve(table: pa.Table, above: pa.Table) -> pa.Table:
+        table = table.sort_by("place")
         lines = lines_of(model, table.column("text").to_pylist())
-        path = viterbi(model, lines, table.column("before")[0].as_py(),
-                       table.column("last")[0].as_py())
+        path = viterbi(model, lines, above.column("before")[0].as_py(),
+                       above.column("last")[0].as_py())
         found = turns(model.roles, lines, path)
         rows_of = pa.array([f[0] for f in found], pa.int64())
         return pa.table({
@@ -260,11 +304,22 @@ def parse(rows: DataFrame, model: RoleModel, conv: str = "conv_id", turn: str =
             "text": pa.array([f[3] for f in found], pa.string()),
             "rendered": pa.array([render(f[2], f[3]) for f in found], pa.string())})
 
-    joined = placed.join(ends, placed["conv"].eqNullSafe(F.col("c")) & (F.col("group") == F.col("g")))
-    return joined.groupBy("conv", "group").applyInArrow(solve, T.StructType([
-        T.StructField("conv", key), T.StructField("turn", placed.schema["turn"].dataType),
-        T.StructField("part", T.IntegerType()), T.StructField("role", T.StringType()),
-        T.StructField("text", T.StringType()), T.StructField("rendered", T.StringType())])
+    over = F.floor(F.col("group") / FAN).cast("bigint").alias("over")
+    tiers = [saved(placed.groupBy("conv", "group").applyInArrow(of_rows, sum_schema), "sums")]
+    transcripts = tiers[0].select("conv").distinct().count()
+    while tiers[-1].count() > transcripts:
+        tiers.append(saved(tiers[-1].groupBy("conv", over).applyInArrow(of_sums, sum_schema), "sums"))
+    # above the last tier nothing is fixed: any role before and any at the end
+    ends = tiers[-1].select("conv", F.floor(F.col("group") / FAN).cast("bigint").alias("group"),
+                            F.lit(None).cast("int").alias("before"), F.lit(None).cast("int").alias("last"))
+    for tier in reversed(tiers):
+        ends = tier.groupBy("conv", over).cogroup(ends.groupBy("conv", "group")).applyInArrow(
+            hand_down, end_schema)
+    return placed.groupBy("conv", "group").cogroup(ends.groupBy("conv", "group")).applyInArrow(
+        solve, T.StructType([
+            T.StructField("conv", key), T.StructField("turn", placed.schema["turn"].dataType),
+            T.StructField("part", T.IntegerType()), T.StructField("role", T.StringType()),
+            T.StructField("text", T.StringType()), T.StructField("rendered", T.StringType())])
     ).withColumnRenamed("conv", conv).withColumnRenamed("turn", turn)
 
 
