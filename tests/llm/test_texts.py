@@ -146,6 +146,17 @@ def test_shards_are_a_permutation(spark, documents, odd, empty):
     assert shards.shuffled(empty).count() == 0
 
 
+def test_copies_of_one_record_are_spread(documents, monkeypatch):
+    monkeypatch.setattr(shards, "COPIES_AT_ONCE", 70)
+    many = documents([(None, None, "en", "s")] * 400 + [(i, f"text {i}", "en", "s") for i in range(200)])
+    found = shards.shuffled(many, bucket_bytes=4096)
+    rows = [r["doc_id"] for r in found.orderBy("slot", "shard").collect()]
+    assert len(rows) == 600 and collections.Counter(rows)[None] == 400
+    assert sum(r is None for r in rows[:300]) in range(150, 250)
+    again = shards.shuffled(many.repartition(5), bucket_bytes=4096)
+    assert rows_of(found, "doc_id", "shard", "slot") == rows_of(again, "doc_id", "shard", "slot")
+
+
 def test_shards_are_written(spark, documents, folder):
     df = documents([(i, f"text {i}", "en", "s") for i in range(100)])
     shards.write_shards(df, f"{folder}/shards")

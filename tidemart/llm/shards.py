@@ -11,9 +11,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.shared import row_hash
+from tidemart.llm.shared import row_hash, saved
 
 BUCKET_BYTES = 8 << 20
+RECORD_BYTES = 128      # what a record takes besides its text
+COPIES_AT_ONCE = 10_000
 
 
 def text_size(text: str) -> Column:
@@ -27,18 +29,22 @@ def shuffled(records: DataFrame, shards: int = 8, text: str = "text", key: str =
 
     The order of all records is bucket after bucket, each bucket in the order of its shuffle; they
     are dealt to the shards in turn, so that counts differ by one at most. Records go to buckets by
-    the hash of key and text; repeated records share a bucket. Two counts are made beforehand: all
-    bytes, for the number of buckets, and the records of each bucket, for where it begins. The same
-    records, shards and seed give the same result. No records: no rows.
+    the hash of key and text; copies of one record that would fill a bucket are numbered first and
+    go by their numbers too. Beforehand are counted all bytes, for the number of buckets, the copies
+    of each record, and the records of each bucket, for where it begins. The same records, shards
+    and seed give the same result. No records: no rows.
     """
     columns = records.columns
-    total = records.agg(F.sum(text_size(text))).first()[0] or 0
+    size = text_size(text) + RECORD_BYTES
+    total = records.agg(F.sum(size)).first()[0] or 0
     buckets = max(2 * shards, math.ceil(total / bucket_bytes))
     mark = row_hash(F.col(f"`{key}`").cast("string"), F.xxhash64(F.col(f"`{text}`")).cast("string"),
                     seed=seed)
     record = F.struct(*[F.col(f"`{c}`") for c in columns])
-    placed = records.select(mark.alias("__hash"), F.xxhash64(record).alias("__tie"),
-                            record.alias("__record")).withColumn("__bucket", F.col("__hash") % buckets)
+    marked = records.select(mark.alias("__hash"), F.xxhash64(record).alias("__tie"),
+                            record.alias("__record"), size.alias("__size"))
+    placed = _spread_copies(marked, bucket_bytes, seed).withColumn(
+        "__bucket", F.col("__hash") % buckets)
     counts = placed.groupBy("__bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     begins = counts.select("__bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("begin"))
@@ -58,6 +64,28 @@ def shuffled(records: DataFrame, shards: int = 8, text: str = "text", key: str =
                         F.floor(order / shards).cast("bigint").alias("slot"))
 
 
+def _spread_copies(marked: DataFrame, bucket_bytes: int, seed: int) -> DataFrame:
+    """Rows (__hash, __tie, __record); copies of one record that outgrow a bucket get new hashes.
+
+    Such copies are counted before the shuffle and written out again by number, COPIES_AT_ONCE in
+    a row. Records are taken as equal where both of their hashes are (124 bits).
+    """
+    marks = ["__hash", "__tie"]
+    many = saved(marked.groupBy(*marks).agg(F.sum("__size").alias("bytes"), F.count(F.lit(1)).alias("n"))
+                 .where(F.col("bytes") > bucket_bytes).where("n > 1").select(*marks), "copies")
+    few = marked.join(many, marks, "left_anti").select(*marks, "__record")
+    counted = marked.join(many, marks, "left_semi").groupBy(*marks).agg(
+        F.first("__record").alias("__record"), F.count(F.lit(1)).alias("n"))
+    chunks = counted.select("*", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES_AT_ONCE))).alias("chunk"))
+    begin = F.col("chunk") * COPIES_AT_ONCE
+    numbered = chunks.repartition(*marks, "chunk").select(*marks, "__record", F.explode(F.sequence(
+        begin, F.least(begin + COPIES_AT_ONCE, F.col("n")) - 1)).alias("copy"))
+    return few.unionByName(numbered.select(
+        row_hash(F.col("__hash").cast("string"), F.col("copy").cast("string"), seed=seed)
+        .alias("__hash"), "__tie", "__record"))
+
+
 def _by_hash(a: Column, b: Column) -> Column:
     """Order of two records by hash, then by the hash of all columns; equal ones are the same."""
     less = (a["__hash"] < b["__hash"]) | ((a["__hash"] == b["__hash"]) & (a["__tie"] < b["__tie"]))
@@ -66,7 +94,7 @@ def _by_hash(a: Column, b: Column) -> Column:
 
 
 def write_shards(records: DataFrame, path: str, **how) -> None:
-    """One folder per shard, its records in slot order."""
+    """One folder per shard, its files and their records in slot order."""
     placed = shuffled(records, **how)
-    placed.repartition("shard").sortWithinPartitions("shard", "slot").write.partitionBy(
+    placed.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy(
         "shard").parquet(path)
