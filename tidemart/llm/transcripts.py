@@ -305,16 +305,23 @@ def parse(rows: DataFrame, model: RoleModel, conv: str = "conv_id", turn: str =
             "rendered": pa.array([render(f[2], f[3]) for f in found], pa.string())})
 
     over = F.floor(F.col("group") / FAN).cast("bigint").alias("over")
-    tiers = [saved(placed.groupBy("conv", "group").applyInArrow(of_rows, sum_schema), "sums")]
-    transcripts = tiers[0].select("conv").distinct().count()
+    free = [F.lit(None).cast("int").alias("before"), F.lit(None).cast("int").alias("last")]
+    spans = saved(placed.groupBy("conv").agg(F.min("group").alias("group"), F.max("group").alias("end")),
+                  "spans")
+    # a transcript within one group has nothing to hand down
+    short = spans.where(F.col("group") == F.col("end")).select("conv", "group", *free)
+    long = saved(spans.where("group < end").select(F.col("conv").alias("c")), "long")
+    split = placed.join(long, F.col("conv").eqNullSafe(F.col("c")), "left_semi")
+    tiers = [saved(split.groupBy("conv", "group").applyInArrow(of_rows, sum_schema), "sums")]
+    transcripts = long.count()
     while tiers[-1].count() > transcripts:
         tiers.append(saved(tiers[-1].groupBy("conv", over).applyInArrow(of_sums, sum_schema), "sums"))
     # above the last tier nothing is fixed: any role before and any at the end
-    ends = tiers[-1].select("conv", F.floor(F.col("group") / FAN).cast("bigint").alias("group"),
-                            F.lit(None).cast("int").alias("before"), F.lit(None).cast("int").alias("last"))
+    ends = tiers[-1].select("conv", over.alias("group"), *free)
     for tier in reversed(tiers):
         ends = tier.groupBy("conv", over).cogroup(ends.groupBy("conv", "group")).applyInArrow(
             hand_down, end_schema)
+    ends = ends.unionByName(short)
     return placed.groupBy("conv", "group").cogroup(ends.groupBy("conv", "group")).applyInArrow(
         solve, T.StructType([
             T.StructField("conv", key), T.StructField("turn", placed.schema["turn"].dataType),
