@@ -475,6 +475,15 @@ def stream_order_join(spark, d):
     return run_stream(joined, "stream_order_join").where(F.col("create_date") < shop.FAR)
 
 
+def stream_payment_wide(spark, d):
+    """Payments as a stream, joined to the topic of wide orders, whose details are salted."""
+    wide, folder = order_wide(spark, d), f"{shared_dir(spark)}/order_wide"
+    wide.write.parquet(folder)
+    paid = payments.join_payments(shop.payment_info_of(stream_of(spark, d, "orders")),
+                                  spark.readStream.schema(wide.schema).parquet(folder), salts=4)
+    return run_stream(paid, "stream_payment_wide")
+
+
 def stream_province_stats(spark, d):
     """Two jobs in a row: the join writes its topic, the statistics read it."""
     wide = dims.join_province(orders.join_order_details(*stream_orders(spark, d), salts=4),
@@ -605,6 +614,7 @@ QUERIES: dict[str, Query] = {
     "stream_split_logs": stream_split_logs,
     "stream_route_changes": stream_route_changes,
     "stream_order_join": stream_order_join,
+    "stream_payment_wide": stream_payment_wide,
     "stream_province_stats": stream_province_stats,
     "stream_unique_visitor": stream_unique_visitor,
     "stream_user_jump": stream_user_jump,

@@ -439,3 +439,4 @@ ORACLE: dict[str, str] = {
         THEN '0' ELSE is_new END AS is_new) FROM good) WHERE start IS NULL"""),
 }
 ORACLE["stream_route_changes"] = ORACLE["fact_payload"]
+ORACLE["stream_payment_wide"] = ORACLE["payment_wide"]
