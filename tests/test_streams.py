@@ -166,6 +166,22 @@ def clock(ms):
     return datetime.fromtimestamp(ms / 1000, timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
 
 
+def test_changes_that_go_nowhere_are_kept(spark, folder):
+    house = Warehouse(spark, Topics(folder), DimensionStore(spark, f"{folder}/dims"),
+                      SummarySink(f"{folder}/sums"), f"{folder}/state", once=True)
+    put_files(folder, TOPICS["raw_db"], ["{broken", json.dumps(
+        {"table": "nowhere", "type": "insert", "data": {"id": "1"}, "seq": 1})], files=1)
+    rules = spark.createDataFrame(
+        [], "type string, data map<string,string>, before map<string,string>, seq long")
+    house.route_changes(lambda: rules).awaitTermination()
+
+    def topic(name):
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/topic={TOPICS[name]}")
+        return [r["value"] for r in lines.collect()]
+    assert topic("dirty_db") == ["{broken"]
+    assert [json.loads(v)["table"] for v in topic("unrouted")] == ["nowhere"]
+
+
 def test_whole_warehouse(spark, folder):
     """Raw lines and database changes through all jobs to the four summary tables."""
     house = Warehouse(spark, Topics(folder, files_per_trigger=1),

@@ -35,7 +35,7 @@ from tidemart.streaming.first_visits import FirstVisits
 TOPICS = {
     "raw_log": "ods_base_log", "raw_db": "ods_base_db", "rules": "table_process",
     "page": "dwd_page_log", "start": "dwd_start_log", "display": "dwd_display_log",
-    "dirty": "dwd_dirty_log",
+    "dirty": "dwd_dirty_log", "dirty_db": "ods_dirty_db", "unrouted": "ods_unrouted_db",
     "order_info": "dwd_order_info", "order_detail": "dwd_order_detail",
     "payment": "dwd_payment_info", "favor": "dwd_favor_info", "cart": "dwd_cart_info",
     "refund": "dwd_order_refund_info", "comment": "dwd_comment_info",
@@ -148,7 +148,8 @@ class Warehouse:
         return self._start(each_batch(self._read("raw_log"), work), "split_logs")
 
     def route_changes(self, rule_changes) -> StreamingQuery:
-        """Raw changes to fact topics and dimension tables.
+        """Raw changes to fact topics and dimension tables; bad lines and changes without a rule to
+        topics of their own.
 
         `rule_changes` is a callable that gives the changes of the rule table so far; it is
         called for every micro-batch, so a new rule counts from the next batch on. The rules of a
@@ -162,14 +163,19 @@ class Warehouse:
                 noted.append(routing.latest_rules(rule_changes()), batch_id)
             rules = noted.batches(after=batch_id - 1, before=batch_id + 1)
             self.dimensions.create_missing(rules)
-            routed = routing.route(routing.nonempty_changes(routing.parse_changes(batch)), rules)
-            routed = routed.persist()
+            changes = routing.nonempty_changes(routing.parse_changes(batch)).persist()
+            routed = routing.route(changes, rules).persist()
             try:
-                self.topics.put_routed(
-                    routing.fact_payload(routing.fact_branch(routed)), batch_id)
+                lines = routing.fact_payload(routing.fact_branch(routed))
+                for name, left in (("dirty_db", log_ops.dirty_lines(batch)),
+                                   ("unrouted", to_topic(routing.unrouted(changes, rules)))):
+                    lines = lines.unionByName(
+                        left.select(F.lit(self.names[name]).alias("topic"), "value"))
+                self.topics.put_routed(lines, batch_id)
                 self.dimensions.put(routing.dimension_branch(routed), batch_id, self.on_delete)
             finally:
                 routed.unpersist()
+                changes.unpersist()
             if self._folds(batch_id):
                 for table in self.dimensions.tables():
                     self.dimensions.compact(table)
