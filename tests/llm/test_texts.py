@@ -9,7 +9,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidemart.llm import language, licenses, mixing, pieces, quality, shards, simhash, stages
+from tidemart.llm import language, licenses, minhash, mixing, pieces, quality, shards, simhash, stages
 from tidemart.llm.queries import model_file
 from tidemart.llm.shared import components, held_out, table
 
@@ -238,6 +238,43 @@ def test_one_of_each_class_stays(odd, empty):
     assert stages.without_near_duplicates(empty).count() == 0
 
 
+def test_near_copies_at_four_fifths_go(documents, monkeypatch):
+    rng = np.random.default_rng(8)
+
+    def text(n):
+        return [f"w{x}" for x in rng.integers(0, 5000, n)]
+
+    def grams(words):
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    rows, gone = [], set()
+    for i in range(60):
+        base = text(200)
+        near = list(base)
+        for place in (20, 60, 100, 140)[:1 + i % 4]:
+            near[place] = "edited"
+        a, b = grams(base), grams(near)
+        assert len(a & b) / len(a | b) >= 0.8
+        rows += [(10 * i, " ".join(base), "en", "s"), (10 * i + 1, " ".join(near), "en", "s")]
+        gone.add(10 * i + 1)
+        far = list(base)
+        for place in range(5, 200, 15):
+            far[place] = "changed"
+        rows.append((10 * i + 2, " ".join(far), "en", "s"))
+    # a crowd of texts with one passage, of which pairs are near copies
+    passage = text(150)
+    for i in range(80):
+        own = text(70)
+        rows += [(2000 + 2 * i, " ".join(passage + own), "en", "s"),
+                 (2001 + 2 * i, " ".join(passage + own + ["end"]), "en", "s")]
+        gone.add(2001 + 2 * i)
+    df = documents(rows)
+    kept = {r["doc_id"] for r in stages.without_near_duplicates(df).collect()}
+    assert kept == {r[0] for r in rows} - gone
+    monkeypatch.setattr(minhash.links, "__defaults__", (80, 8))
+    assert {r["doc_id"] for r in stages.without_near_duplicates(df).collect()} == kept
+
+
 def test_components_of_a_chain(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r["root"] for r in components(edges).collect()} == {0}
