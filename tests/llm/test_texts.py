@@ -376,6 +376,21 @@ def test_language_of_odd_texts(odd, empty):
     assert stages.in_a_language(empty).count() == 0
 
 
+def test_unlearnt_scripts_go_and_documents_stay(spark):
+    df = table(spark, SF, "documents")
+    rng = np.random.default_rng(4)
+    rows = []
+    for low, high in ((0x430, 0x44F), (0x3B1, 0x3C9), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3)):
+        for n in (5, 20, 100):
+            rows += [(" ".join("".join(map(chr, rng.integers(low, high, rng.integers(2, 9))))
+                               for _ in range(n)),) for _ in range(25)]
+    strange = spark.createDataFrame(rows, "text string").select(
+        (F.monotonically_increasing_id() + (1 << 40)).alias("doc_id"), "text")
+    kept = stages.in_a_language(df.unionByName(strange, allowMissingColumns=True)).select("doc_id")
+    clean = df.where(F.col("text").rlike("\\p{L}")).select("doc_id")
+    assert rows_of(kept, "doc_id") == rows_of(clean, "doc_id")
+
+
 def test_language_by_brute_force():
     """Vectors bound and bundled letter by letter."""
     first, second, third = language.letter_vectors(64, 7)

@@ -105,6 +105,22 @@ class LanguageModel:
                 np.where(some, score, 0.0))
 
 
+def sampled(documents: DataFrame, learn: Column, text: str, lang: str, key: str, per_language: int,
+            seed: int) -> DataFrame | None:
+    """(lang, text) of the rows to learn from, some `per_language` a language; None without any."""
+    rows = documents.where(learn & F.col(f"`{lang}`").isNotNull()).select(
+        F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
+        row_hash(F.col(f"`{key}`").cast("string"), seed=seed).alias("h"))
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not sizes:
+        return None
+    share = F.lit(0)
+    for name, n in sizes.items():
+        bound = int(min(1.0, per_language / n) * (1 << HASH_BITS))
+        share = F.when(F.col("lang") == name, F.lit(bound)).otherwise(share)
+    return rows.where(F.col("h") < share).select("lang", "text")
+
+
 def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
         key: str = "doc_id", per_language: int = 4000, dimensions: int = DIMENSIONS,
         seed: int = 7) -> LanguageModel:
@@ -115,17 +131,9 @@ def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "la
     The number of languages is taken to fit the driver; nothing else reaches it. Texts without
     letters add nothing; a language with such texts only is learnt as no vector, and never chosen.
     """
-    rows = documents.where(learn & F.col(f"`{lang}`").isNotNull()).select(
-        F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
-        row_hash(F.col(f"`{key}`").cast("string"), seed=seed).alias("h"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not sizes:
+    chosen = sampled(documents, learn, text, lang, key, per_language, seed)
+    if chosen is None:
         return LanguageModel((), np.zeros((0, dimensions), np.float32), seed)
-    share = F.lit(0)
-    for name, n in sizes.items():
-        bound = int(min(1.0, per_language / n) * (1 << HASH_BITS))
-        share = F.when(F.col("lang") == name, F.lit(bound)).otherwise(share)
-    chosen = rows.where(F.col("h") < share).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
