@@ -125,6 +125,15 @@ def test_larger_mix_holds_the_smaller(documents):
     assert small < large
 
 
+@pytest.mark.parametrize("equal", [True, False])
+def test_a_key_with_a_third_of_the_rows_is_taken_in_part(documents, equal):
+    # only this key, so that the boundary is in it: with equal rows, or with different texts
+    df = documents([(None, "w w w" if equal else f"w w {i}", "en", "a") for i in range(300)])
+    found = mixing.mix(df, share=0.35).select("size", "times").collect()
+    assert len(found) == 300 and sum(r["times"] for r in found) == 105
+    assert mixing.mixed(df.repartition(5), share=0.35).count() == 105
+
+
 # --- shards ----------------------------------------------------------------------------
 def test_shards_are_a_permutation(spark, documents, odd, empty):
     many = documents([(i, "x" * (i % 50), "en", "s") for i in range(2000)])
