@@ -86,7 +86,7 @@ def links(fps: DataFrame, distance: int = 2, blocks: int = 4, largest: int = 64)
     with themselves and each pair is verified. Larger groups would give too many pairs: there, for a
     distance of 2, two fingerprints are that close exactly if some bit pattern is at most one bit
     from both, so each is filed under its 1 + free bits patterns, and linked to the smallest
-    of a pattern; for other distances their blocks are split further by more masks first.
+    of a pattern. Distances of 0 to 2 are supported, larger ones are an error.
     """
     masks = block_masks(distance, blocks)
     parts = F.array(*[F.struct(F.lit(i).alias("part"),
