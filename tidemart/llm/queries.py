@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemart.llm import collision, hamming, language, licenses, mixing, pieces, quality, shards
-from tidemart.llm import simhash, token_counts, transcripts
+from tidemart.llm import clusters, collision, hamming, language, licenses, mixing, pieces, quality
+from tidemart.llm import shards, simhash, token_counts, transcripts
 from tidemart.llm.shared import held_out, table
 
 
@@ -74,6 +74,11 @@ def op11_token_counts(spark, d):
     return token_counts.counted(table(spark, d, "documents"), model_file("word_bpe_49k.json"))
 
 
+def op12_clusters(spark, d):
+    return clusters.clustered(table(spark, d, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_hamming_top_k, op3_mix, op4_shards, op5_quality, op6_language,
-    op7_collision_ann, op8_chat_format, op9_sentencepiece, op10_simhash, op11_token_counts)}
+    op7_collision_ann, op8_chat_format, op9_sentencepiece, op10_simhash, op11_token_counts,
+    op12_clusters)}

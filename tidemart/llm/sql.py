@@ -99,4 +99,36 @@ SELECT doc_id, size::bigint AS size, g.source_size, g.target,
 FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source
 LEFT JOIN e ON e.source IS NOT DISTINCT FROM g.source"""
 
-ORACLE = {"op1_license_scan": _license_sql(), "op2_hamming_top_k": HAMMING_SQL, "op3_mix": MIX_SQL}
+
+def _cluster_sql(rounds: int = 10, k: int = 8) -> str:
+    steps = [f"""WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) AS e
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS c, e
+  FROM (SELECT sha256('3:' || vec_id::varchar) AS h, e FROM v ORDER BY h NULLS LAST, e LIMIT {k}))"""]
+    near = """
+  SELECT r, first(vec_id) AS vec_id, first(v.e) AS e, min(struct_pack(d := list_sum(list_transform(
+      range(1, 65), lambda i: (v.e[i] - c.e[i]) * (v.e[i] - c.e[i])))::bigint, c := c.c)) AS m
+  FROM v, c{} c GROUP BY r"""
+    for i in range(rounds):
+        steps.append(f"""a{i} AS MATERIALIZED ({near.format(i)}),
+s{i} AS (
+  SELECT m.c AS c, i, sum(e[i])::hugeint AS s, count(*)::hugeint AS n
+  FROM a{i}, range(1, 65) t(i) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (
+  SELECT c, coalesce(n.e, o.e) AS e FROM c{i} o LEFT JOIN (
+    SELECT c, list(((s - ((s % n) + n) % n) // n)::bigint ORDER BY i) AS e FROM s{i} GROUP BY c
+  ) n USING (c))""")
+    steps.append(f"a AS MATERIALIZED ({near.format(rounds)})")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, m.c::int AS cluster, m.d AS distance,
+  sum(m.d) OVER (PARTITION BY m.c)::bigint AS cluster_inertia, sum(m.d) OVER ()::bigint AS inertia,
+  sha256(array_to_string(c.e, ',')) AS centroid_sha256
+FROM a JOIN c{rounds} c ON c.c = a.m.c"""
+
+
+ORACLE = {"op1_license_scan": _license_sql(), "op2_hamming_top_k": HAMMING_SQL, "op3_mix": MIX_SQL,
+          "op12_clusters": _cluster_sql()}
