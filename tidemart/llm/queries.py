@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemart.llm import clusters, collision, hamming, language, licenses, mixing, pieces, quality
-from tidemart.llm import shards, simhash, token_counts, transcripts
+from tidemart.llm import phrases, shards, simhash, token_counts, transcripts
 from tidemart.llm.shared import held_out, table
 
 
@@ -78,7 +78,11 @@ def op12_clusters(spark, d):
     return clusters.clustered(table(spark, d, "embeddings"))
 
 
+def op13_phrases(spark, d):
+    return phrases.collocations(table(spark, d, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_license_scan, op2_hamming_top_k, op3_mix, op4_shards, op5_quality, op6_language,
     op7_collision_ann, op8_chat_format, op9_sentencepiece, op10_simhash, op11_token_counts,
-    op12_clusters)}
+    op12_clusters, op13_phrases)}

@@ -130,5 +130,40 @@ SELECT vec_id, m.c::int AS cluster, m.d AS distance,
 FROM a JOIN c{rounds} c ON c.c = a.m.c"""
 
 
+PHRASE_SQL = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+pieces AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\\x0A-\\x0D]')) AS p FROM texts)),
+f AS MATERIALIZED (
+  SELECT lang, k, p, count(*) AS n FROM (
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS p
+    FROM pieces, range(1, 4) t(k)) GROUP BY ALL),
+c AS MATERIALIZED (SELECT lang, k, p, n AS a FROM f WHERE k > 1 AND n >= 10),
+longer AS (
+  SELECT lang, p, max(a) FILTER (s = 'l') AS most_left, max(a) FILTER (s = 'r') AS most_right FROM (
+    SELECT lang, p[2:] AS p, a, 'l' AS s FROM c UNION ALL SELECT lang, p[:k - 1] AS p, a, 'r' AS s FROM c)
+  GROUP BY ALL),
+kept AS (
+  SELECT c.*, most_left, most_right FROM c LEFT JOIN longer USING (lang, p)
+  WHERE NOT coalesce(100 * greatest(most_left, most_right) >= 50 * a, false)),
+cut AS (
+  SELECT lang, k, p, a, most_left, most_right, unnest(range(1, k)) AS j FROM kept),
+scored AS (
+  SELECT cut.lang, cut.p, a, most_left, most_right, j, x.n AS l, y.n AS r,
+    ((1000000::hugeint * a * a) // (x.n::hugeint * y.n))::bigint AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.p = cut.p[:j]
+  JOIN f y ON y.lang = cut.lang AND y.p = cut.p[j + 1:]),
+best AS (
+  SELECT *, array_to_string(p, ' ') AS phrase FROM scored
+  QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+words AS (SELECT lang, sum(n)::bigint AS n FROM f WHERE k = 1 GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score, most_left, most_right
+FROM best JOIN words USING (lang)
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000"""
+
 ORACLE = {"op1_license_scan": _license_sql(), "op2_hamming_top_k": HAMMING_SQL, "op3_mix": MIX_SQL,
-          "op12_clusters": _cluster_sql()}
+          "op12_clusters": _cluster_sql(), "op13_phrases": PHRASE_SQL}
