@@ -39,12 +39,12 @@ def plain_scan(text):
                 score = 1.0
             continue
         s, kinds = 0, set(t.words)
-        while s == 0 or s + licenses.STRIDE < len(w):
-            share = len(kinds & set(w[s:s + licenses.BLOCK]))
+        while s == 0 or s + t.stride < len(w):
+            share = len(kinds & set(w[s:s + 2 * t.stride]))
             if share >= t.needed:
                 labels.add(t.label)
                 score = max(score, share / len(kinds))
-            s += licenses.STRIDE
+            s += t.stride
     return (len(w), len(places), min(places, default=None), max(places, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), score)
 

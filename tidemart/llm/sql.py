@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemart.llm.licenses import BLOCK, STRIDE, TEMPLATES
+from tidemart.llm.licenses import TEMPLATES
 
 
 def _list(values) -> str:
@@ -11,23 +11,23 @@ def _list(values) -> str:
 
 def _license_sql() -> str:
     rows = ",\n".join(
-        f"({i}, '{t.label}', {_list(t.words)}, {_list(sorted(set(t.words)))}, {t.needed}, {t.phrase})"
-        for i, t in enumerate(TEMPLATES))
+        f"({i}, '{t.label}', {_list(t.words)}, {_list(sorted(set(t.words)))}, {t.needed}, {t.phrase}, "
+        f"{t.stride})" for i, t in enumerate(TEMPLATES))
     return f"""
-WITH templates(t, label, phrase, tokens, needed, consecutive) AS (VALUES {rows}),
+WITH templates(t, label, phrase, tokens, needed, consecutive, stride) AS (VALUES {rows}),
 docs AS (
   SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM documents),
 blocks AS (
-  SELECT r, unnest(range(0, greatest(1, cast(ceil((len(w) - {STRIDE}) / {STRIDE}) AS bigint)))) AS b
-  FROM docs),
+  SELECT r, stride, unnest(range(0, greatest(1, cast(ceil((len(w) - stride) / stride) AS bigint)))) AS b
+  FROM docs, (SELECT DISTINCT stride FROM templates)),
 cut AS (
-  SELECT r, b, w[b * {STRIDE} + 1 : b * {STRIDE} + {BLOCK}] AS own FROM blocks JOIN docs USING (r)),
+  SELECT r, stride, b, w[b * stride + 1 : (b + 2) * stride] AS own FROM blocks JOIN docs USING (r)),
 held AS (
   SELECT r, label, len(list_intersect(tokens, own)) / len(tokens) AS share
-  FROM cut, templates
+  FROM cut JOIN templates USING (stride)
   WHERE NOT consecutive AND len(list_intersect(tokens, own)) >= needed),
 places AS (
   SELECT r, label, p FROM (
