@@ -25,6 +25,16 @@ def parse_logs(lines: DataFrame) -> DataFrame:
     return parse_topic(good_lines(lines), schemas.LOG)
 
 
+def checked_lines(lines: DataFrame) -> DataFrame:
+    """Lines with `good`, whether each is one JSON object: for jobs that use both kinds."""
+    return lines.withColumn("good", is_json_object())
+
+
+def parse_checked(checked: DataFrame) -> DataFrame:
+    """Typed log rows of the lines found good."""
+    return parse_topic(checked.where("good").drop("good"), schemas.LOG)
+
+
 def first_new_rows(logs: DataFrame, order=ORDER) -> DataFrame:
     """Place (mid and order columns) of the first row flagged new, per mid.
 

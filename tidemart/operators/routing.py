@@ -48,12 +48,18 @@ def keep_columns(data: Column, sink_columns: Column) -> Column:
     return F.map_filter(data, lambda key, _: F.array_contains(wanted, key))
 
 
+def _named(rules: DataFrame) -> DataFrame:
+    """Rules that say where to: one without a sink table serves nothing."""
+    return rules.where(F.coalesce("sink_table", F.lit("")) != "")
+
+
 def route(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Changes with a rule: `data` cut to the rule's columns, and where it goes.
 
     No hint is set on the rules: Spark broadcasts them while its statistics show that they
     are small, and splits skewed partitions otherwise.
     """
+    rules = _named(rules)
     on = [changes["table"] == rules["source_table"], changes["type"] == rules["operate_type"]]
     data = keep_columns(F.col("data"), F.col("sink_columns")).alias("data")
     kept = [data if c == "data" else changes[c] for c in changes.columns]
@@ -72,7 +78,7 @@ def dimension_branch(routed: DataFrame) -> DataFrame:
 
 def unrouted(changes: DataFrame, rules: DataFrame) -> DataFrame:
     """Changes that go nowhere: no rule, or a rule for another kind of sink."""
-    served = rules.where(F.col("sink_type").isin(codes.SINK_TYPE["fact"],
+    served = _named(rules).where(F.col("sink_type").isin(codes.SINK_TYPE["fact"],
                                                  codes.SINK_TYPE["dimension"]))
     on = [changes["table"] == served["source_table"], changes["type"] == served["operate_type"]]
     # No anti join: Spark pushes one below a union, and where a part has one table and one type

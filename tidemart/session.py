@@ -18,6 +18,8 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
+    # up to so many keys are looked for by name, which the Bloom filters of a file answer
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # repeated names in JSON are good, the last one counts
     "spark.sql.variant.allowDuplicateKeys": "true",
 }

@@ -12,10 +12,7 @@ from tidemart.sources.files import exists, folders, remove_folder
 
 @dataclass(frozen=True)
 class BatchTable:
-    """Rows by micro-batch, and now and then a base that stands for all batches up to one.
-
-    A replayed batch overwrites its own folder, so every batch counts once. A reader sees the
-    newest finished base and the batches after it; nothing it may be reading is changed.
+    """Rows by micro-batch. A replayed batch overwrites its own folder, so every batch counts once.
 
     `filled` names the folder of the batches where another writer fills it. Such folders appear
     whole, by a rename, and carry no mark of their own.
@@ -34,10 +31,6 @@ class BatchTable:
         return sorted(int(name.split("=")[1]) for name in folders(self.spark, self._batches)
                       if name.startswith("batch="))
 
-    def _bases(self) -> list[int]:
-        return sorted(int(name.split("=")[1]) for name in folders(self.spark, f"{self.path}/base")
-                      if exists(self.spark, f"{self.path}/base/{name}/_SUCCESS"))
-
     def _finished(self, batch_id: int) -> bool:
         folder = f"{self._batches}/batch={batch_id}"
         return exists(self.spark, folder if self.filled else f"{folder}/_SUCCESS")
@@ -49,12 +42,6 @@ class BatchTable:
     def has(self, batch_id: int) -> bool:
         return self._finished(batch_id)
 
-    def base(self) -> tuple[int, DataFrame | None]:
-        done = self._bases()
-        if not done:
-            return -1, None
-        return done[-1], self.spark.read.parquet(f"{self.path}/base/upto={done[-1]}")
-
     def batches(self, after: int = -1, before: int | None = None) -> DataFrame:
         """Rows of the batches after one and before another."""
         wanted = [n for n in self._batch_ids()
@@ -67,16 +54,6 @@ class BatchTable:
     def has_batches(self, after: int) -> bool:
         return self.last_batch() > after
 
-    def write_base(self, rows: DataFrame, upto: int) -> None:
-        """A new base. The one before it, and the batches since then, stay for readers that have
-        begun with them; what is older goes."""
-        rows.write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        done = self._bases()
-        if len(done) > 1:
-            for old in done[:-2]:
-                remove_folder(self.spark, f"{self.path}/base/upto={old}")
-            self.forget(done[-2] + 1)
-
     def forget(self, before: int) -> None:
         """Remove the folders of the batches before one."""
         for n in self._batch_ids():

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tidemart import codes, schemas
 from tidemart.functions.names import camel_columns
 from tidemart.sources.batches import BatchTable
-from tidemart.sources.files import folders, holding_batch
+from tidemart.sources.buckets import BucketedTable
+from tidemart.sources.files import escaped, folders, holding_batch, unescaped
 
 CHANGE_ROWS = schemas.KEYED_CHANGE
 PLACE = "struct<seq: bigint, step: int, tie: bigint>"
@@ -129,22 +130,28 @@ class DimensionStore:
     """All dimension tables below one shared folder.
 
     Changes of a micro-batch go to `changes/table=<name>/batch=<id>`, all tables in one write; a
-    table's own folder holds the names of its columns and its base. A finished batch never
-    changes: a replay leaves it as it is, so a stream with a new checkpoint needs a new store.
+    table's own folder holds the names of its columns and its base, in buckets of some `rows_each` keys,
+    of which a fold rewrites those with changes. A finished batch never changes: a replay leaves it
+    as it is, so a stream with a new checkpoint needs a new store. Tables may have any name but an
+    empty one; upper and lower case are the same.
     """
 
     spark: SparkSession
     root: str
+    rows_each: int = 1 << 17
 
     @property
     def _changes(self) -> str:
         return f"{self.root.rstrip('/')}/changes"
 
     def _table(self, table: str) -> BatchTable:
-        name = table.lower()
+        name = escaped(table.lower())
         return BatchTable(self.spark, f"{self.root.rstrip('/')}/{name}", CHANGE_ROWS,
                           filled=f"{self._changes}/table={name}")
 
+    def _folded(self, table: str) -> BucketedTable:
+        return BucketedTable(self.spark, self._table(table).path, "_key", self.rows_each)
+
     def _names(self, table: str) -> BatchTable:
         return BatchTable(self.spark, f"{self._table(table).path}/columns", schemas.STORED_COLUMN)
 
@@ -153,7 +160,7 @@ class DimensionStore:
 
     def tables(self) -> list[str]:
         """Tables that have changes."""
-        return [name.split("=", 1)[1] for name in folders(self.spark, self._changes)
+        return [unescaped(name.split("=", 1)[1]) for name in folders(self.spark, self._changes)
                 if name.startswith("table=")]
 
     def columns(self, table: str) -> list[str]:
@@ -187,7 +194,8 @@ class DimensionStore:
         """Make the table of every dimension rule, with the columns of all its rules; a table that
         is there gets the columns it lacks. Rules are configuration: a few rows."""
         wanted: dict[str, tuple[dict[str, None], str]] = {}
-        for r in (rules.where(F.col("sink_type") == codes.SINK_TYPE["dimension"])
+        for r in (rules.where((F.col("sink_type") == codes.SINK_TYPE["dimension"])
+                              & (F.coalesce("sink_table", F.lit("")) != ""))
                   .select("sink_table", "sink_columns", "sink_pk").distinct()
                   .orderBy("sink_table", "sink_columns").collect()):
             columns, _ = wanted.setdefault(r.sink_table.lower(), ({}, r.sink_pk or "id"))
@@ -215,23 +223,28 @@ class DimensionStore:
         self.put(changes.withColumn("sink_table", F.lit(table)).withColumn("sink_pk", F.lit(key)),
                  batch_id, on_delete)
 
-    def _current(self, table: str, columns: list[str], key_is: str | None = None,
-                 before: int | None = None) -> DataFrame:
-        """One state per key, of one key where it is given: looked for before anything is merged."""
-        batches = self._table(table)
-        upto, base = batches.base()
-        changes = batches.batches(after=upto, before=before)
+    def _current(self, table: str, columns: list[str], key_is: str | None = None) -> DataFrame:
+        """One state per key, of one key where it is given: looked for before anything is merged, and
+        in its own bucket only."""
+        batches, folded = self._table(table), self._folded(table)
+        base = folded.newest()
+        delta = self._delta(table, columns, base.upto, key_is=key_is)
+        buckets = None
+        if key_is is not None:
+            keys = self.spark.createDataFrame([(key_is,)], "key string")
+            buckets = folded.numbers(base, keys, "key")
+        old = folded.read(base, delta.schema, buckets)
+        if key_is is not None:
+            old = old.where(F.col("_key") == key_is)
+        return _onto(old, delta, columns) if batches.has_batches(after=base.upto) else old
+
+    def _delta(self, table: str, columns: list[str], after: int, before: int | None = None,
+               key_is: str | None = None) -> DataFrame:
+        """The states that the batches after one, and before another, come to."""
+        changes = self._table(table).batches(after=after, before=before)
         if key_is is not None:
             changes = changes.where(F.col("key") == key_is)
-            base = base if base is None else base.where(F.col("_key") == key_is)
-        delta = _by_key(_states(changes, columns), columns)
-        if base is None:
-            return delta
-        for c in columns:       # columns that came after the base was written
-            if c not in base.columns:
-                base = base.withColumn(c, F.lit(None).cast("string")).withColumn(
-                    f"_{c}_at", F.lit(None).cast(PLACE))
-        return _onto(base, delta, columns) if batches.has_batches(after=upto) else base
+        return _by_key(_states(changes, columns), columns)
 
     def _read(self, table: str, camel: bool, key_is: str | None = None) -> DataFrame:
         if not self.exists(table):
@@ -249,8 +262,12 @@ class DimensionStore:
         return self._read(table, camel, value)
 
     def compact(self, table: str) -> None:
-        """Fold the batches so far into a new base, in the background or every n batches."""
-        batches = self._table(table)
-        last = batches.last_batch()
-        if last > batches.base()[0]:
-            batches.write_base(self._current(table, self.columns(table), before=last + 1), last)
+        """Fold the batches so far into the base, in the background or every n batches: the buckets
+        with changed keys are written anew, the others stay."""
+        batches, folded = self._table(table), self._folded(table)
+        last, upto = batches.last_batch(), folded.newest().upto
+        if last > upto:
+            columns = self.columns(table)
+            delta = self._delta(table, columns, upto, last + 1)
+            folded.fold(delta, lambda old, new: _onto(old, new, columns), delta.schema, last)
+            batches.forget(before=folded.before_last() + 1)

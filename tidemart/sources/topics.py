@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from tidemart.sources.files import holding_batch, make_folder
+from tidemart.sources.files import escaped, holding_batch, make_folder
 
 
 @dataclass(frozen=True)
@@ -27,7 +27,7 @@ class Topics:
     files_per_trigger: int | None = None
 
     def folder(self, topic: str) -> str:
-        return f"{self.root.rstrip('/')}/topic={topic}"
+        return f"{self.root.rstrip('/')}/topic={escaped(topic)}"
 
     def read(self, spark: SparkSession, topic: str, group: str | None = None) -> DataFrame:
         """Stream of (value, seq): the text and its place in the topic.

@@ -123,28 +123,29 @@ class Warehouse:
         visits_seen = FirstVisits(self.spark, f"{self.state.rstrip('/')}/first_visits")
 
         def work(batch: DataFrame, batch_id: int) -> None:
-            # Rows of one file share a place; the row number tells them apart.
-            batch = batch.withColumn("row", F.monotonically_increasing_id()).withColumn(
-                "line", F.col("value")).persist()
+            # Rows of one file share a place; the row number tells them apart. A line is checked
+            # once and parsed once: all that follows reads what is kept of it.
+            checked = log_ops.checked_lines(batch.withColumn(
+                "row", F.monotonically_increasing_id()).withColumn("line", F.col("value"))).persist()
+            parsed = log_ops.parse_checked(checked).persist()
             logs = None
             try:
-                logs = visits_seen.repair(log_ops.parse_logs(batch), batch_id,
-                                          ("ts", "seq", "row")).persist()
+                logs = visits_seen.repair(parsed, batch_id, ("ts", "seq", "row")).persist()
                 pages = log_ops.page_logs(logs)
                 branches = {
                     "page": log_ops.payload(pages),
                     "start": log_ops.payload(log_ops.start_logs(logs)),
                     "display": log_ops.display_logs(pages).select(
                         F.to_json("display").alias("value")),
-                    "dirty": log_ops.dirty_lines(batch).select("value")}
+                    "dirty": checked.where("NOT good").select("value")}
                 for name, lines in branches.items():
                     self.topics.put(lines, self.names[name], batch_id)
                 if self._folds(batch_id):
                     visits_seen.compact()
             finally:
-                if logs is not None:
-                    logs.unpersist()
-                batch.unpersist()
+                for kept in (logs, parsed, checked):
+                    if kept is not None:
+                        kept.unpersist()
         return self._start(each_batch(self._read("raw_log"), work), "split_logs")
 
     def route_changes(self, rule_changes) -> StreamingQuery:
