@@ -13,6 +13,8 @@ ODD = [
     None, "", " ", "a", "<|startoftext|>Hi<|endoftext|>", "<|STARTOFTEXT|>x", "It's THE 12345 don't'll",
     "日本語　テキスト", "é ́́ x ́", "x" * 5000, "<|endoftext|>" * 3,
     "a\x00b\tc　d e\x85f\x1cg\x0bh", "ΑΣ ΟΔΟΣ İstanbul ß", "'s's 'll", "🙂👍🏽 ‍﻿",
+    "a. b.c, 3.14.15 e.g.'s x.... (y). Z!?! a.\u0301 A\u0301. \u212a. \u1e96 H\u0331 h\u0331 \u00df. \u0130.",
+    "<|EndOfText|> x<|endoftext|>,y <|ENDOFTEXT|><|endoftext|> 's.'S.'re,'RE don't.I'M. a's.b'S",
     "word " * 60_000, "x\n\n \n y " * 3000, " <|endoftext|> z", "=== ---- (((", "ﬁ ½ Å 한"]
 
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +17,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows as written below the shared folder: lineage ends here, lost executors lose nothing.
 
     The folder belongs to the run; whoever empties spark.checkpoint.dir removes it.
     """
     path = f"{shared_dir(df.sparkSession)}/{name}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -43,6 +48,24 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
+def giving_back(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run`, a function over batches, after which a Python worker holds no memory it doesn't use.
+
+    Workers outlive their tasks and stages; what the allocators keep for later adds up in an executor.
+    """
+    @wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return whole
+
+
 def held_out(doc_id: str, parts: int, part: int) -> Column:
     """Whether a document is kept from learning: crc32 of its id as text. A null id counts as ''."""
     text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
