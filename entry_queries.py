@@ -22,6 +22,7 @@ from tidemart.sources import changes as change_source
 from tidemart.sources.dimensions import DimensionStore, change_rows, merge_changes
 from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics
+from tidemart.streaming.jump_timers import timed_jumps
 from tidemart.streaming.jobs import Warehouse
 
 AS_OF = "2024-06-01"
@@ -523,6 +524,29 @@ def stream_unique_visitor(spark, d):
         "common.mid", millis_to_text("ts", fmt="yyyy-MM-dd").alias("day"))
 
 
+def busy_pages(spark, d):
+    """The page stream, one device having a third of the rows."""
+    rows = stream_pages(spark, d)
+    return rows.withColumn("common", F.when(F.col("seq") % 3 == 0, F.col("common").withField(
+        "mid", F.lit("busy"))).otherwise(F.col("common")))
+
+
+def stream_unique_visitor_busy(spark, d):
+    """The kept rows: device, day, that each is an entry page of the table, and how many there are."""
+    first = run_stream(visits.unique_visitors(busy_pages(spark, d), salts=4), "stream_unique_visitor_busy")
+    table = visits.entry_pages(shop.page_log(spark, d)).select("seq", F.col("ts").alias("at"))
+    kept = first.where(F.col("ts") < 4102444800000).join(table, "seq")
+    return kept.groupBy("common.mid", millis_to_text("ts", fmt="yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(visits.is_entry() & (F.col("ts") == F.col("at")))
+        .alias("entries"))
+
+
+def stream_user_jump_timers(spark, d):
+    """Bounces told by timers, one device having a third of the rows."""
+    return flat_pages(run_stream(timed_jumps(busy_pages(spark, d), "1 hour", buckets=2),
+                                 "stream_user_jump_timers")).where(F.col("ts") < 4102444800000)
+
+
 def stream_user_jump(spark, d):
     return flat_pages(run_stream(visits.user_jumps(stream_pages(spark, d), "1 hour"),
                                  "stream_user_jump"))
@@ -617,7 +641,9 @@ QUERIES: dict[str, Query] = {
     "stream_payment_wide": stream_payment_wide,
     "stream_province_stats": stream_province_stats,
     "stream_unique_visitor": stream_unique_visitor,
+    "stream_unique_visitor_busy": stream_unique_visitor_busy,
     "stream_user_jump": stream_user_jump,
+    "stream_user_jump_timers": stream_user_jump_timers,
     "stream_page_stats": stream_page_stats,
     "stream_product_stats": stream_product_stats,
     "stream_keyword_stats": stream_keyword_stats,

@@ -94,6 +94,12 @@ CTE = {
     "jumps": """SELECT * FROM entry e WHERE NOT EXISTS (
         SELECT 1 FROM page f WHERE f.mid = e.mid AND coalesce(f.last_page_id, '') <> ''
         AND f.ts >= e.ts AND f.ts < e.ts + {timeout})""",
+    "busy_page": """SELECT * REPLACE (CASE WHEN seq % 3 = 0 THEN 'busy' ELSE mid END AS mid)
+        FROM logrow WHERE start IS NULL""",
+    "busy_entry": "SELECT * FROM busy_page WHERE coalesce(last_page_id, '') = ''",
+    "busy_jumps": """SELECT * FROM busy_entry e WHERE NOT EXISTS (
+        SELECT 1 FROM busy_page f WHERE f.mid = e.mid AND coalesce(f.last_page_id, '') <> ''
+        AND f.ts >= e.ts AND f.ts < e.ts + {timeout})""",
     "display_row": """SELECT l.page_id, l.ts, l.mid, ((l.seq * 7 + n) % 2000)::VARCHAR AS item,
         CASE WHEN (l.seq + n) % 4 = 0 THEN 'promotion_id' ELSE 'sku_id' END AS item_type,
         n::VARCHAR AS place
@@ -386,6 +392,10 @@ ORACLE: dict[str, str] = {
         ORDER BY ts, seq) = 1"""),
     "stream_unique_visitor": _with("logrow page entry", """SELECT DISTINCT mid,
         strftime(at_time, '%Y-%m-%d') AS day FROM entry"""),
+    "stream_unique_visitor_busy": _with("logrow busy_page busy_entry", """SELECT DISTINCT mid,
+        strftime(at_time, '%Y-%m-%d') AS day, 1 AS n, 1 AS entries FROM busy_entry"""),
+    "stream_user_jump_timers": _with("logrow busy_page busy_entry busy_jumps",
+                                     f"SELECT {FLAT} FROM busy_jumps", timeout="3600000"),
     "user_jump": _with("logrow page entry jumps", f"SELECT {FLAT} FROM jumps", timeout="3600000"),
     "stream_user_jump": _with("logrow page entry jumps", f"SELECT {FLAT} FROM jumps",
                               timeout="3600000"),

@@ -1,5 +1,7 @@
+import random
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from rows import frame, page, pages, values
@@ -143,3 +145,31 @@ def test_dictionary_words_of_any_length(spark):
     assert values(dictionary_words(df, "t", dictionary), "word", "ct") == [
         ("abc", 1), ("abcdefghij", 1), ("j", 1), (long, 1)]
     assert dictionary_words(df, "t", dictionary.where("false")).count() == 0
+
+
+def test_words_longer_than_any_piece_in_bounded_memory(spark):
+    """One entry of 40,000 letters, a text of 80,000 with all but two places the same."""
+    text = "ab" * 20_000 + "c" + "ab" * 20_000
+    entry = "ab" * 20_000
+    df = spark.createDataFrame([("x", text), ("y", "short"), ("z", "ab" * 19_999)], "a string, t string")
+    dictionary = spark.createDataFrame([(entry,), ("ba" * 100,), ("bca",), ("no" * 70,)], "word string")
+    counts = {(r.a, r.word): r.ct for r in dictionary_words(df, "t", dictionary).collect()}
+    inner = 20_000 - 100        # places of 200 letters that begin with b, on each side
+    assert counts == {("x", entry): 2, ("x", "ba" * 100): 2 * inner, ("x", "bca"): 1,
+                      ("z", "ba" * 100): inner - 1}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_places_of_all_lengths_equal_brute_force(spark, seed):
+    rng = random.Random(seed)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.choice([5, 70, 300, 900]))) for _ in range(6)]
+    some = [t[i:i + n] for t in texts for n in (1, 3, 63, 64, 65, 66, 127, 128, 129, 200, 256, 257, 500)
+            for i in [rng.randrange(len(t))]]
+    words = sorted({w for w in some if w} | {"a" * 65, "b" * 128})
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "a int, t string")
+    dictionary = spark.createDataFrame([(w,) for w in words + words[:2]], "word string")
+    want = {(i, w): sum(t.startswith(w, k) for k in range(len(t))) for i, t in enumerate(texts) for w in words}
+    got = {(r.a, r.word): r.ct for r in dictionary_words(df, "t", dictionary).collect()}
+    assert got == {k: n for k, n in want.items() if n}
+    placed = dictionary_matches(df, "t", dictionary).groupBy("a", "word").count()
+    assert {(r["a"], r["word"]): r["count"] for r in placed.collect()} == got

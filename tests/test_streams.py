@@ -16,6 +16,7 @@ from tidemart.sources.dimensions import DimensionStore
 from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics, console
 from tidemart.streaming.first_visits import FirstVisits
+from tidemart.streaming.jump_timers import timed_jumps
 from tidemart.streaming.jobs import SUMMARIES, TOPICS, Warehouse
 
 T0 = 1615809600000
@@ -81,6 +82,73 @@ def test_jumps(spark, folder, paged):
     assert dropped == 0
 
 
+@pytest.mark.parametrize("timeout", ["10 seconds", "2 seconds", "100 seconds"])
+def test_jumps_by_timers(spark, folder, paged, timeout):
+    want = real(visits.user_jumps(paged[0], timeout))
+    got, dropped = run(spark, timed_jumps(paged[1], timeout, buckets=3), folder, "timed")
+    assert values(got, "common", "page", "ts") == values(want, "common", "page", "ts") and want.count()
+    assert dropped == 0
+
+
+def test_timers_of_odd_pages(spark, folder):
+    """No device, repeated rows, a follow-up in the same millisecond, out of order within the delay."""
+    rows = [page("a", T0), page("a", T0 + 9_999, "home"), page("b", T0), page("b", T0 + 10_000, "home"),
+            page(None, T0), page(None, T0 + 1, "home"), page("c", T0 + 5), page("c", T0 + 5),
+            page("d", T0 + 7, "home"), page("d", T0 + 7), page("e", T0 + 900, "home"), page("e", T0 + 400),
+            page("far", FAR, "home")]
+    put_files(folder, "p", as_lines(rows), files=2)
+    got, _ = run(spark, timed_jumps(page_stream(spark, folder)), folder, "odd")
+    assert values(got, "common.mid", "ts") == values(visits.user_jumps(pages(spark, rows)), "common.mid", "ts")
+    assert values(got, "common.mid") == [("b",), ("c",), ("c",), (None,)]
+
+
+def test_a_bounce_leaves_at_its_own_timeout(spark, folder):
+    """The timer tells it in the micro-batch behind the one that moves the watermark to ts + 10 s; by
+    windows it takes until both cells have passed."""
+    at = T0 + 1_000
+    moves = [at, at + 9_000, at + 11_000, at + 11_500, at + 16_000, at + 21_000, at + 22_000, at + 23_000]
+    rows = [page("m", moves[0])] + [page("clock", t, "home") for t in moves[1:]]
+    told = {}
+    for name, jumps in (("timers", timed_jumps), ("windows", visits.user_jumps)):
+        put_files(f"{folder}/{name}", "p", as_lines(rows), files=len(rows))
+        stream = jumps(page_stream(spark, f"{folder}/{name}"))
+        seen = []
+
+        def note(batch, batch_id, seen=seen):
+            seen += [batch_id] * batch.where("common.mid = 'm'").count()
+        query = (stream.writeStream.foreachBatch(note).trigger(availableNow=True)
+                 .option("checkpointLocation", f"{folder}/{name}/state").start())
+        query.awaitTermination()
+        assert len(seen) == 1
+        told[name] = seen[0]
+    # batch 2 brings the watermark to ts + 10 s, which counts from the next batch on
+    assert told["timers"] == 3 and told["windows"] > 3
+
+
+def test_unique_visitors_of_a_busy_device(spark, folder):
+    rows = [page("busy" if i % 3 else f"m{i}", T0 + i * 1_000, None, seq=i) for i in range(600)]
+    rows.append(page("closing", FAR, seq=600))
+    put_files(folder, "p", as_lines(rows))
+    for salts in (1, 4):
+        got, dropped = run(spark, visits.unique_visitors(page_stream(spark, folder), salts=salts), folder,
+                           f"busy{salts}")
+        kept = values(real(got).groupBy("common.mid").count(), "mid", "count")
+        assert len(kept) == 201 and {n for _, n in kept} == {1}
+
+
+def test_a_day_of_visitors_is_forgotten(spark, folder):
+    """State is dropped once the watermark is a delay behind the day."""
+    day = 86_400_000
+    rows = [page(f"m{i}", T0 + d * day + i * 1_000, None) for d in range(4) for i in range(50)]
+    put_files(folder, "p", as_lines(rows), files=4)
+    stream = visits.unique_visitors(page_stream(spark, folder), delay="5 minutes")
+    query = (stream.writeStream.format("noop").trigger(availableNow=True)
+             .option("checkpointLocation", f"{folder}/state").start())
+    query.awaitTermination()
+    held = [max(s.numRowsTotal for s in p.stateOperators) for p in query.recentProgress if p.numInputRows]
+    assert len(held) == 4 and max(held) <= 100     # two days at the most, not four
+
+
 def test_unique_visitors(spark, folder, paged):
     got, _ = run(spark, visits.unique_visitors(paged[1]), folder, "uniques")
     assert values(real(got), "common.mid") == values(

@@ -18,19 +18,24 @@ def entry_pages(pages: DataFrame) -> DataFrame:
 
 
 def unique_visitors(pages: DataFrame, order=("ts", "seq"), day_start: str = "0 hours",
-                    delay: str = "1 day") -> DataFrame:
+                    delay: str = "1 day", salts: int = 4) -> DataFrame:
     """First entry page per device and day.
 
     A day is a one-day window, counted from `day_start` in UTC ('16 hours' for UTC+8).
-    Batch: the row of rank one, which is pruned before the shuffle. Stream: the first row to
-    arrive; a day is kept in state until `delay` after its end.
+    Batch: the row of rank one, which is pruned before the shuffle. Stream: a row of the first
+    micro-batch that has one; a day is kept in state until `delay` after its end, and rows that come
+    later than that are dropped. There, a device's rows of a day are first told apart by place in
+    `salts` partitions of the state, each of which lets one row through, so that a device with very
+    many rows sends no more than `salts` of them to the partition that decides.
     """
     entries = with_event_time(entry_pages(pages), F.timestamp_millis("ts"), delay)
     # The event time itself must not outlive the window: one event-time column per stream.
     entries = (entries.withColumn("day", F.window("event_time", "1 day", "1 day", day_start))
                .withColumn("mid", F.col("common.mid")).drop("event_time"))
     if pages.isStreaming:
-        first = entries.dropDuplicates(["mid", "day"])
+        place = [c for c in order if c in pages.columns]
+        salted = entries.withColumn("salt", F.pmod(F.xxhash64(*place), F.lit(salts)))
+        first = salted.dropDuplicates(["mid", "day", "salt"]).dropDuplicates(["mid", "day"])
     else:
         rank = F.row_number().over(Window.partitionBy("mid", "day").orderBy(*order))
         first = entries.withColumn("rank", rank).where("rank = 1")

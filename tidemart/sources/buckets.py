@@ -68,7 +68,8 @@ class BucketedTable:
         wanted = base.parts if buckets is None else [b for b in buckets if b in base.parts]
         paths = [f"{self.path}/data/upto={base.parts[b][0]}/bucket={b}" for b in wanted]
         if not paths:
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(0).select(
+                *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])
         return self.spark.read.schema(schema).parquet(*paths)
 
     def numbers(self, base: Base, keys: DataFrame, key: str) -> list[int]:

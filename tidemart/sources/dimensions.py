@@ -229,6 +229,8 @@ class DimensionStore:
         batches, folded = self._table(table), self._folded(table)
         base = folded.newest()
         delta = self._delta(table, columns, base.upto, key_is=key_is)
+        if base.upto < 0:
+            return delta
         buckets = None
         if key_is is not None:
             keys = self.spark.createDataFrame([(key_is,)], "key string")

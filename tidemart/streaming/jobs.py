@@ -31,6 +31,7 @@ from tidemart.sources.dimensions import DimensionStore
 from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics, each_batch, start
 from tidemart.streaming.first_visits import FirstVisits
+from tidemart.streaming.jump_timers import timed_jumps
 
 TOPICS = {
     "raw_log": "ods_base_log", "raw_db": "ods_base_db", "rules": "table_process",
@@ -57,7 +58,8 @@ class Warehouse:
     """Settings shared by the jobs, and one method per job.
 
     `salts` spreads the details of one order over that many state partitions in the
-    stream-stream joins. `lag` is how far a topic may run behind others that feed the same
+    stream-stream joins, and the pages of one device and day in the unique visits. With `timers` a
+    bounce is told at its own timeout, by Python workers; without, by windows alone, two cells later. `lag` is how far a topic may run behind others that feed the same
     summary, and, unless `delay` says otherwise, how far out of order the rows of joined topics may
     come: a row reaches it through one to three micro-batches of other jobs, and one that comes
     after the watermark is lost. Stored changes and first visits are
@@ -75,6 +77,7 @@ class Warehouse:
     timeout: str = "10 seconds"
     lag: str = "5 minutes"
     delay: str | None = None
+    timers: bool = True
     day_start: str = "0 hours"
     on_delete: str = "ignore"
     as_of: str | None = None
@@ -186,12 +189,13 @@ class Warehouse:
     # -- wide layer -----------------------------------------------------------
     def unique_visits(self) -> StreamingQuery:
         pages = self._rows("page", schemas.LOG).drop("start")
-        return self._to_topic(visits.unique_visitors(pages, day_start=self.day_start),
-                              "unique_visit", "unique_visits")
+        first = visits.unique_visitors(pages, day_start=self.day_start, delay=self.lag, salts=self.salts)
+        return self._to_topic(first, "unique_visit", "unique_visits")
 
     def user_jumps(self) -> StreamingQuery:
         pages = self._rows("page", schemas.LOG).drop("start")
-        return self._to_topic(visits.user_jumps(pages, self.timeout), "user_jump", "user_jumps")
+        jumps = timed_jumps if self.timers else visits.user_jumps
+        return self._to_topic(jumps(pages, self.timeout), "user_jump", "user_jumps")
 
     def order_wide(self) -> StreamingQuery:
         joined = order_ops.join_order_details(
