@@ -34,35 +34,82 @@ def odd_vectors(spark):
 
 
 def sound(rows):
-    out = {}
+    """(id, vector) of every row that takes part, repeated ones too."""
+    out = []
     for i, v in rows:
         if i is None or not v or any(x is None or not np.isfinite(x) for x in v) or not any(v):
             continue
-        v = np.array(v, np.float32).astype(float)
-        out[i] = min(out.get(i, v), v, key=lambda a: a.tolist())
+        out.append((i, np.array(v, np.float32).astype(float)))
     return out
 
 
 def test_nearest_by_inner_product(odd_vectors):
     df, rows = odd_vectors
     known = sound(rows)
-    found = {}
-    for r in collision.near(df, k=20, every=20, block=64, chunk=5).orderBy("query_id", "rank").collect():
-        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
-    assert set(found) == {i for i in known if i % 20 == 0}
+    found = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in collision.near(
+        df, k=20, every=20, block=64, chunk=5).collect())
     hits = total = 0
-    for q, got in found.items():
-        others = [(i, float(np.dot(v, known[q]))) for i, v in known.items()
-                  if i != q and len(v) == len(known[q])]
+    for q, (own, vector) in enumerate(known):
+        if own % 20:
+            continue
+        assert sum(i == own for i, _ in known) == 1     # of the queries
+        got = [(i, s) for x, _, i, s in found if x == own]
+        others = [(i, float(np.dot(v, vector))) for n, (i, v) in enumerate(known)
+                  if n != q and len(v) == len(vector)]
         want = sorted(others, key=lambda x: (-round(x[1], 9), x[0]))[:20]
         hits += len({i for i, _ in got} & {i for i, _ in want})
         total += len(want)
         assert len(got) == len(want)
-        assert all(abs(s - dict(others)[i]) < 1e-9 for i, s in got)
+        scores = {(i, round(s, 9)) for i, s in others}
+        assert all((i, round(s, 9)) in scores for i, s in got)
         assert got == sorted(got, key=lambda x: (-x[1], x[0]))
     assert hits / total >= 0.9
 
 
+def test_rows_that_share_an_id_are_all_searched(spark):
+    df = vectors_of(spark, [(1, [0.1, 0.1]), (1, [5.0, 5.0]), (0, [1.0, 0.0]), (0, [0.0, 2.0]),
+                            (7, [1.0, 1.0]), (7, [1.0, 1.0])])
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], round(r["score"], 6)) for r in collision.near(df).collect())
+    first = [(0, 1, 1, 5.0), (0, 2, 7, 1.0), (0, 3, 7, 1.0), (0, 4, 1, 0.1), (0, 5, 0, 0.0)]
+    second = [(0, 1, 1, 10.0), (0, 2, 7, 2.0), (0, 3, 7, 2.0), (0, 4, 1, 0.2), (0, 5, 0, 0.0)]
+    assert got == sorted(first + second)
+    codes = hamming.similar_signs(df).collect()
+    assert len(codes) == 10 and sorted(r["distance"] for r in codes if r["vec_id"] == 0) == [2, 2]
+
+
+def test_a_third_of_the_rows_under_one_id(spark):
+    rng = np.random.default_rng(6)
+    rows = [(3 if i % 3 else i, rng.normal(size=6).tolist()) for i in range(600)]
+    df = vectors_of(spark, rows)
+    known = sound(rows)
+    got = collision.near(df, k=5, every=50, block=64, chunk=4).collect()
+    queries = [(i, v) for i, v in known if i % 50 == 0]
+    assert len(got) == 5 * len(queries)
+    hits = 0
+    for own, vector in queries:
+        want = sorted((-float(v @ vector), i) for i, v in known if v is not vector)[:5]
+        hits += len({round(-s, 6) for s, _ in want} & {round(r["score"], 6) for r in got if r["query_id"] == own})
+    assert hits / len(got) >= 0.9
+    signs = hamming.similar_signs(df, k=5, every=50).collect()
+    for own, vector in queries:
+        want = sorted((int(((v > 0) != (vector > 0)).sum()), i) for i, v in known if v is not vector)[:5]
+        assert sorted((r["distance"], r["vec_id"]) for r in signs if r["query_id"] == own) == want
+
+
+@pytest.mark.parametrize("size", [65, 128, 200])
+def test_codes_are_as_wide_as_the_vectors(spark, size):
+    """Vectors that differ in their last components only."""
+    rng = np.random.default_rng(size)
+    rows = [(i, [1.0] * 64 + rng.normal(size=size - 64).tolist()) for i in range(120)]
+    df = vectors_of(spark, rows)
+    found = hamming.similar_signs(df, k=4, every=20).collect()
+    bits = {i: np.array(v) > 0 for i, v in rows}
+    assert len(found) == 6 * 4
+    for q in range(0, 120, 20):
+        want = sorted((int((bits[q] != b).sum()), i) for i, b in bits.items() if i != q)[:4]
+        assert sorted((r["distance"], r["vec_id"]) for r in found if r["query_id"] == q) == want
+
+
 def test_recall_on_the_tables(spark):
     df = table(spark, "/root/testdata/sf0.01", "embeddings")
     rows = df.collect()
@@ -98,11 +145,12 @@ def test_hamming_of_odd_vectors(odd_vectors):
     df, rows = odd_vectors
     known = sound(rows)
     found = hamming.similar_signs(df, k=5, every=20).collect()
-    bits = {i: [bool(x > 0) for x in v] + [False] * (64 - len(v)) for i, v in known.items()}
+    bits = [(i, [bool(x > 0) for x in v] + [False] * (64 - len(v))) for i, v in known]
     for q in {r["query_id"] for r in found}:
-        want = sorted((sum(map(bool.__ne__, bits[q], b)), i) for i, b in bits.items() if i != q)[:5]
+        own = dict(bits)[q]
+        want = sorted((sum(map(bool.__ne__, own, b)), i) for i, b in bits if i != q)[:5]
         assert sorted((r["distance"], r["vec_id"]) for r in found if r["query_id"] == q) == want
-    assert len({r["query_id"] for r in found}) == sum(i % 20 == 0 for i in known)
+    assert len({r["query_id"] for r in found}) == sum(i % 20 == 0 for i, _ in known)
 
 
 def test_searches_of_nothing(spark):

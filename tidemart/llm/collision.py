@@ -23,7 +23,7 @@ RADIUS = 0.6             # first radius; points and queries have length 1
 GROWTH = 1.2             # the next radius
 QUERIES_AT_ONCE = 512    # whose counts are held together
 MISS = 1.0               # deviations below its mean count at which a vector is still verified
-SCHEMA = "query_id bigint, vec_id bigint, score double"
+SCHEMA = "query_row bigint, query_id bigint, vec_id bigint, score double"
 
 
 def collision_threshold(m: int = PROJECTIONS, width: float = WIDTH, miss: float = MISS) -> int:
@@ -98,10 +98,11 @@ def grow(index: Projections, queries: np.ndarray, verify, k: int, threshold: int
             for p, _, s in met]
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray, ids: np.ndarray,
-                 k: int, largest: float, m: int = PROJECTIONS, seed: int = 17
+def search_block(queries: np.ndarray, query_rows: np.ndarray, points: np.ndarray, rows: np.ndarray,
+                 ids: np.ndarray, k: int, largest: float, m: int = PROJECTIONS, seed: int = 17
                  ) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each query its nearest of the block by inner product: (ids, scores), k at the most.
+    """For each query its nearest of the block by inner product: (ids, scores), k at the most, its own
+    row left out.
 
     Inner products order points as distances do once a coordinate brings all points to the length
     `largest`: |x - q|^2 = largest^2 + |q|^2 - 2 q.x, with queries scaled to that length too.
@@ -118,7 +119,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray,
     def verify(q: int, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         scores = points.take(found, axis=0) @ queries[q]
         gap = np.sqrt(np.maximum(2 - 2 * scores / (norms[q] * largest), 0.0))
-        return np.where(ids[found] == query_ids[q], np.inf, gap), scores
+        return np.where(rows[found] == query_rows[q], np.inf, gap), scores
 
     out = []
     for at in range(0, len(queries), QUERIES_AT_ONCE):
@@ -126,7 +127,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, points: np.ndarray,
         lifted = np.column_stack([queries[some] / norms[some, None], np.zeros(len(norms[some]))])
         for q, (found, scores) in enumerate(grow(index, lifted, lambda q, f: verify(at + q, f), k,
                                                  threshold), at):
-            other = ids[found] != query_ids[q]
+            other = rows[found] != query_rows[q]
             found, scores = found[other], scores[other]
             if len(found) > k:      # all that are about as near as the kth, then in order
                 about = 1e-12 * norms[q] * largest
@@ -147,7 +148,8 @@ def near(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id",
          vector: str = "embedding", block: int = 8192, chunk: int = 4096, m: int = PROJECTIONS,
          seed: int = 17) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose id is divisible by `every`, the k other
-    rows found nearest by inner product (double precision), ties to the smaller id.
+    rows found nearest by inner product (double precision), ties to the smaller id. Every row is a
+    candidate, and a query, of its own: rows that share an id meet each other.
 
     All rows are indexed, in blocks. Vectors that take no part: `proper`. Vectors meet others of
     their own length only. A query with fewer than k candidates gets all of them.
@@ -159,16 +161,17 @@ def near(vectors: DataFrame, k: int = 20, every: int = 20, key: str = "vec_id",
     largest = float(counts[2] or 1.0)
 
     def search(queries: pa.Table, points: pa.Table) -> pa.Table:
-        query_ids = queries.column("vec_id").to_numpy()
+        query_ids, query_rows = (queries.column(c).to_numpy() for c in ("vec_id", "row"))
         found = []
         if queries.num_rows and points.num_rows:
-            found = search_block(_matrix(queries.column("v")), query_ids,
-                                 _matrix(points.column("v")), points.column("vec_id").to_numpy(),
+            found = search_block(_matrix(queries.column("v")), query_rows, _matrix(points.column("v")),
+                                 points.column("row").to_numpy(), points.column("vec_id").to_numpy(),
                                  k, largest, m, seed)
         ids = np.concatenate([f[0] for f in found]) if found else np.zeros(0, np.int64)
         scores = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
-        owners = np.repeat(query_ids[:len(found)], [len(f[0]) for f in found])
-        return pa.table({"query_id": pa.array(owners, pa.int64()), "vec_id": pa.array(ids, pa.int64()),
+        owners = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+        return pa.table({"query_row": pa.array(query_rows[owners], pa.int64()),
+                         "query_id": pa.array(query_ids[owners], pa.int64()), "vec_id": pa.array(ids, pa.int64()),
                          "score": pa.array(scores, pa.float64())})
 
     queries = rows.where(F.col("vec_id") % every == 0)

@@ -49,19 +49,19 @@ FROM docs LEFT JOIN based USING (r) LEFT JOIN labelled USING (r)"""
 
 HAMMING_SQL = """
 WITH v AS (
-  SELECT vec_id, min(embedding) AS e FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, embedding AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
-  GROUP BY vec_id),
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
 pairs AS (
-  SELECT q.vec_id AS query_id, c.vec_id, cast(list_sum(list_transform(range(1, 65),
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, cast(list_sum(list_transform(
+      range(1, greatest(len(q.e), len(c.e)) + 1),
       lambda i: CASE WHEN (coalesce(q.e[i], 0) > 0) <> (coalesce(c.e[i], 0) > 0) THEN 1 ELSE 0 END))
     AS int) AS distance
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0)
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0)
 SELECT query_id, cast(row_number() OVER (
-    PARTITION BY query_id ORDER BY distance, vec_id) AS int) AS rank, vec_id, distance
-FROM pairs QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) <= 10"""
+    PARTITION BY r ORDER BY distance, vec_id) AS int) AS rank, vec_id, distance
+FROM pairs QUALIFY row_number() OVER (PARTITION BY r ORDER BY distance, vec_id) <= 10"""
 
 MIX_SQL = """
 WITH d AS (

@@ -167,9 +167,12 @@ def fit(rows: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str =
     counted = known.select("role", "text").mapInArrow(
         count, "what string, role string, value string, n bigint").groupBy(
             "what", "role", "value").agg(F.sum("n").alias("n")).collect()
-    here = known.select("conv", "turn", "role")
-    after = here.select("conv", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"))
-    changes = here.join(after, ["conv", "turn"]).groupBy("role", "next").count().collect()
+    # repeated turns are counted before they meet the next ones
+    here = known.groupBy("conv", "turn", "role").agg(F.count(F.lit(1)).alias("n"))
+    after = here.select("conv", (F.col("turn") - 1).alias("turn"), F.col("role").alias("next"),
+                        F.col("n").alias("m"))
+    changes = here.join(after, ["conv", "turn"]).groupBy("role", "next").agg(
+        F.sum(F.col("n") * F.col("m")).alias("count")).collect()
     begins = known.where("turn = 0").groupBy("role").count().collect()
     roles = tuple(sorted({r["role"] for r in counted})) or ("user",)
     start, step = np.full(len(roles), 0.5), np.full((len(roles), len(roles)), 0.5)
