@@ -451,3 +451,51 @@ def test_preference_pairs_order_the_scores():
     w = quality.bradley_terry(good, bad, pairs=5000)
     gap = good[:100] - bad
     assert (w > 0).all() and ((gap @ w) > 0).mean() > 0.8
+
+
+# --- one key with most of the rows --------------------------------------------------------
+def test_a_language_under_one_id_is_learnt(documents):
+    words = {"es": "el perro de la casa y los gatos que corren por las calles",
+             "en": "the dog of the house and the cats that run through streets"}
+    for key in (77, 78, 80):
+        rows = [(key, f"{words['es']} {i}", "es", "s") for i in range(900)]
+        rows += [(1000 + i, f"{words['en']} {i}", "en", "s") for i in range(300)]
+        chosen = language.sampled(documents(rows), F.lit(True), "text", "lang", "doc_id", 400, 7)
+        sizes = {r["lang"]: r["count"] for r in chosen.groupBy("lang").count().collect()}
+        assert sizes["en"] == 300 and 250 < sizes["es"] <= 400
+
+
+def test_equal_rows_are_drawn_one_by_one(documents):
+    rows = [(1, "el perro", "es", "s")] * 900
+    chosen = language.sampled(documents(rows), F.lit(True), "text", "lang", "doc_id", 400, 7)
+    assert 250 < chosen.count() <= 400
+
+
+def test_labelled_rows_of_one_id_are_bounded(spark):
+    rng = np.random.default_rng(3)
+    rows = [(5 if i % 3 else i, rng.normal(size=len(quality.FEATURES)).tolist()) for i in range(3000)]
+    features = spark.createDataFrame(rows, "doc_id bigint, x array<double>")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 3000, 3)] + [(5, 1)], "doc_id bigint, quality int")
+    seen = []
+    original = quality.bradley_terry
+    try:
+        quality.bradley_terry = lambda good, bad, **more: seen.append(len(good) + len(bad)) or original(good, bad)
+        quality.fit(features, labels, F.lit(True), most=300)
+    finally:
+        quality.bradley_terry = original
+    assert 150 < seen[0] <= 300
+
+
+def test_records_of_one_id_and_text_are_spread(spark, documents):
+    """Null ids and texts, different sources: no bucket takes them all."""
+    rows = [(None, None, "en", f"source {i}") for i in range(3000)]
+    df = documents(rows)
+    found = shards.shuffled(df, bucket_bytes=1 << 14).collect()
+    assert sorted(r["source"] for r in found) == sorted(r[3] for r in rows)
+    for s in range(8):
+        assert sorted(r["slot"] for r in found if r["shard"] == s) == list(range(3000 // 8))
+    size = shards.text_size("text") + shards.RECORD_BYTES
+    record = F.struct(*[F.col(c) for c in df.columns])
+    buckets = -(-df.agg(F.sum(size)).first()[0] // (1 << 14))
+    at = shards.row_hash(F.col("doc_id").cast("string"), F.xxhash64(record).cast("string"), seed=23) % buckets
+    assert df.groupBy(at).count().agg(F.max("count")).first()[0] < 4 * 3000 / buckets

@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,18 +107,28 @@ class LanguageModel:
 
 def sampled(documents: DataFrame, learn: Column, text: str, lang: str, key: str, per_language: int,
             seed: int) -> DataFrame | None:
-    """(lang, text) of the rows to learn from, some `per_language` a language; None without any."""
-    rows = documents.where(learn & F.col(f"`{lang}`").isNotNull()).select(
-        F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"),
-        row_hash(F.col(f"`{key}`").cast("string"), seed=seed).alias("h"))
+    """(lang, text) of the rows to learn from, at most `per_language` a language; None without any.
+
+    Where a language has more, rows are drawn by a hash of the key and the row's place in the table,
+    so that rows that share a key, or are the same, are drawn one by one.
+    """
+    place = F.monotonically_increasing_id().cast("string")
+    rows = documents.select(
+        F.col(f"`{lang}`").alias("lang"), F.col(f"`{text}`").alias("text"), learn.alias("learn"),
+        row_hash(F.col(f"`{key}`").cast("string"), place, seed=seed).alias("h")).where(
+            F.col("learn") & F.col("lang").isNotNull())
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     share = F.lit(0)
     for name, n in sizes.items():
-        bound = int(min(1.0, per_language / n) * (1 << HASH_BITS))
+        # so many that the draw hardly ever exceeds what is taken
+        some = 1.0 if n <= per_language else max(1.0, per_language - 3 * per_language ** 0.5) / n
+        bound = int(some * (1 << HASH_BITS))
         share = F.when(F.col("lang") == name, F.lit(bound)).otherwise(share)
-    return rows.where(F.col("h") < share).select("lang", "text")
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    drawn = rows.where(F.col("h") < share).withColumn("rank", first)
+    return drawn.where(F.col("rank") <= per_language).select("lang", "text")
 
 
 def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "lang",
@@ -127,7 +137,7 @@ def fit(documents: DataFrame, learn: Column, text: str = "text", lang: str = "la
     """Prototypes: the sum of the unit vectors of documents of a language.
 
     Learnt from the rows with `learn` and a language. `per_language` bounds the rows that a language
-    is learnt from: where it has more, a share of that expected size, chosen by the hash of the key.
+    is learnt from: where it has more, nearly so many are drawn (`sampled`).
     The number of languages is taken to fit the driver; nothing else reaches it. Texts without
     letters add nothing; a language with such texts only is learnt as no vector, and never chosen.
     """

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.shared import HASH_BITS, row_hash, saved, small_batches
+from tidemart.llm.shared import HASH_BITS, giving_back, row_hash, saved, small_batches
 
 FEATURES = ("words", "word_length", "longest_word", "distinct_words", "repeated_next",
             "upper", "digits", "stops", "shouts", "bars", "symbols", "white", "beyond_ascii",
@@ -68,7 +68,7 @@ def featured(documents: DataFrame, text: str = "text", keep: tuple[str, ...] = (
                 names=[*batch.schema.names[:-1], "x"])
 
     schema = T.StructType([*kept.schema.fields, T.StructField("x", T.ArrayType(T.DoubleType()))])
-    return small_batches(rows).mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(giving_back(run), schema)
 
 
 @dataclass(frozen=True)
@@ -148,16 +148,18 @@ def fit(rows: DataFrame, labels: DataFrame, learn: Column, most: int = 20_000, s
         seed: int = 5) -> QualityModel:
     """Learn from rows (doc_id, x) with `learn` that have a label.
 
-    Weights are fitted on the driver to a sample of some `most` labelled rows at the most, chosen by
-    the hash of the id. The cut is a quantile of the utilities of all rows, the one (of `steps`) at
+    Weights are fitted on the driver to a sample of `most` labelled rows at the most, chosen by a hash
+    of the id and the row's place, so that rows that share an id are drawn one by one. The cut is a quantile of the utilities of all rows, the one (of `steps`) at
     which all labelled rows are told apart best, both classes weighing the same; of a run of
     equally good quantiles the middle. With one class only there are no pairs: all weights are 0, and
     the cut is such that every document is predicted to be of that class (1 where there are none).
     """
-    known = labelled(rows, labels, learn)
+    placed = rows.withColumn("place", F.monotonically_increasing_id().cast("string"))
+    known = labelled(placed, labels, learn)
     n = known.count()
-    bound = int(min(1.0, most / max(n, 1)) * (1 << HASH_BITS))
-    sample = known.where(row_hash("doc_id", seed=seed) < bound).select("good", "x").collect()
+    some = 1.0 if n <= most else max(1.0, most - 3 * most ** 0.5) / n
+    chosen = known.where(row_hash("doc_id", "place", seed=seed) < int(some * (1 << HASH_BITS)))
+    sample = chosen.select("good", "x").limit(most).collect()
     x = np.array([r["x"] for r in sample]).reshape(len(sample), len(FEATURES))
     good = np.array([r["good"] >= 1 for r in sample], bool)
     if not good.any() or good.all():
@@ -217,4 +219,4 @@ def kept(documents: DataFrame, model: QualityModel, text: str = "text") -> DataF
             x = np.array([features(t.as_py()) for t in texts]).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(model.utilities(x) >= model.cut))
 
-    return small_batches(documents).mapInArrow(run, documents.schema)
+    return small_batches(documents).mapInArrow(giving_back(run), documents.schema)

@@ -29,7 +29,7 @@ def shuffled(records: DataFrame, shards: int = 8, text: str = "text", key: str =
 
     The order of all records is bucket after bucket, each bucket in the order of its shuffle; they
     are dealt to the shards in turn, so that counts differ by one at most. Records go to buckets by
-    the hash of key and text; copies of one record that would fill a bucket are numbered first and
+    the hash of key and all columns; copies of one record that would fill a bucket are numbered first and
     go by their numbers too. Beforehand are counted all bytes, for the number of buckets, the copies
     of each record, and the records of each bucket, for where it begins. The same records, shards
     and seed give the same result. No records: no rows.
@@ -38,9 +38,8 @@ def shuffled(records: DataFrame, shards: int = 8, text: str = "text", key: str =
     size = text_size(text) + RECORD_BYTES
     total = records.agg(F.sum(size)).first()[0] or 0
     buckets = max(2 * shards, math.ceil(total / bucket_bytes))
-    mark = row_hash(F.col(f"`{key}`").cast("string"), F.xxhash64(F.col(f"`{text}`")).cast("string"),
-                    seed=seed)
     record = F.struct(*[F.col(f"`{c}`") for c in columns])
+    mark = row_hash(F.col(f"`{key}`").cast("string"), F.xxhash64(record).cast("string"), seed=seed)
     marked = records.select(mark.alias("__hash"), F.xxhash64(record).alias("__tie"),
                             record.alias("__record"), size.alias("__size"))
     placed = _spread_copies(marked, bucket_bytes, seed).withColumn(
