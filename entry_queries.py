@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import adapters as shop
+from tidemart import schemas
 from tidemart.functions.json_rows import json_variant, to_topic
 from tidemart.functions.times import millis_to_text, text_to_millis
 from tidemart.functions.words import dictionary_words, register_split_words, split_words
 from tidemart.operators import keyword_stats as keyword_ops
 from tidemart.operators import logs, orders, payments, product_stats, routing, visitor_stats, visits
 from tidemart.operators import dims
-from tidemart.operators.province_stats import province_stats
+from tidemart.operators.province_stats import province_stats, with_clock
 from tidemart.plans import batch as plans
 from tidemart.session import shared_dir
 from tidemart.sources import changes as change_source
@@ -23,7 +24,7 @@ from tidemart.sources.dimensions import DimensionStore, change_rows, merge_chang
 from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics
 from tidemart.streaming.jump_timers import timed_jumps
-from tidemart.streaming.jobs import Warehouse
+from tidemart.streaming.jobs import SUMMARIES, Warehouse
 
 AS_OF = "2024-06-01"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,6 +164,14 @@ def province_stats_query(spark, d):
                                 shop.provinces(spark, d))
 
 
+def province_stats_clock(spark, d):
+    """The sink's columns: `ts` is the time of processing, in whole seconds, so it is told as a fact."""
+    rows = with_clock(province_stats_query(spark, d), schemas.PROVINCE_STATS_COLUMNS)
+    now = F.unix_millis(F.current_timestamp())
+    return rows.select("stt", "edt", "province_id", "order_count", (
+        (F.col("ts") % 1000 == 0) & F.col("ts").between(now - 600_000, now + 600_000)).alias("is_now"))
+
+
 def product_measures(spark, d):
     """All measures by sku, without windows: what each of the streams contributes."""
     wide = order_wide(spark, d)
@@ -345,6 +354,23 @@ def routed(spark, d):
     return routing.route(routing.nonempty_changes(changes(spark, d)), rules(spark, d))
 
 
+def rule_versions(spark, d):
+    return routing.rule_versions(shop.rule_changes(spark, d)).drop("sink_extend")
+
+
+def route_asof(spark, d):
+    """All changes by the rules valid as of each: rules change while changes come in."""
+    rows = routing.route_as_of(routing.nonempty_changes(changes(spark, d)),
+                               routing.rule_versions(shop.rule_changes(spark, d)))
+    return rows.select("table", "type", "sink_type", "sink_table", "sink_pk", "data", "seq")
+
+
+def unrouted_asof(spark, d):
+    return routing.unrouted_as_of(
+        routing.nonempty_changes(changes(spark, d)),
+        routing.rule_versions(shop.rule_changes(spark, d))).select("table", "type", "seq")
+
+
 def route_facts(spark, d):
     return routing.fact_branch(routed(spark, d)).select("sink_table", "sink_pk", "data", "seq")
 
@@ -560,6 +586,20 @@ def stream_page_stats(spark, d):
     return run_stream(stats, "stream_page_stats").drop("uv_ct", "uj_ct")
 
 
+def stream_visitor_stats(spark, d):
+    """The visitor job as it runs, on its three topics: pages, daily first visits and bounces."""
+    house = warehouse(spark, shared_dir(spark))
+    house.width, house.lag = "1 hour", "1 hour"
+    pages = shop.page_log(spark, d)
+    closing = pages.where("seq = 1").withColumn("ts", F.lit(4102444800000))
+    for name, rows in (("page", pages), ("unique_visit", visits.unique_visitors(pages)),
+                       ("user_jump", visits.user_jumps(pages, "1 hour"))):
+        to_topic(rows.unionByName(closing)).write.text(house.topics.folder(house.names[name]))
+    house.visitor_stats().awaitTermination()
+    return spark.read.option("recursiveFileLookup", "true").parquet(
+        house.summaries.folder(SUMMARIES["visitor"]))
+
+
 def stream_product_stats(spark, d):
     """Pages and order lines as streams, with distinct order counts; the other five inputs of the
     statistics are not part of it."""
@@ -598,6 +638,7 @@ QUERIES: dict[str, Query] = {
     "join_product": join_product,
     "dim_lookup": dim_lookup,
     "province_stats": province_stats_query,
+    "province_stats_clock": province_stats_clock,
     "product_measures": product_measures,
     "product_stats": product_stats_query,
     "visitor_measures": visitor_measures,
@@ -626,6 +667,9 @@ QUERIES: dict[str, Query] = {
     "parse_changes": parse_changes,
     "nonempty_changes": nonempty_changes,
     "latest_rules": latest_rules,
+    "rule_versions": rule_versions,
+    "route_asof": route_asof,
+    "unrouted_asof": unrouted_asof,
     "route_facts": route_facts,
     "route_dims": route_dims,
     "unrouted": unrouted,
@@ -645,6 +689,7 @@ QUERIES: dict[str, Query] = {
     "stream_user_jump": stream_user_jump,
     "stream_user_jump_timers": stream_user_jump_timers,
     "stream_page_stats": stream_page_stats,
+    "stream_visitor_stats": stream_visitor_stats,
     "stream_product_stats": stream_product_stats,
     "stream_keyword_stats": stream_keyword_stats,
 }

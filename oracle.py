@@ -149,6 +149,9 @@ CTE = {
         WHEN type = 'update' THEN 'gender=NULL,id=' || id || ',segment=CHANGED'
         ELSE '' END AS cut FROM changed c
         JOIN rule r ON c."table" = r.source_table AND c.type = r.operate_type""",
+    # the version of the rule that counts at the change's own number
+    "rule_version": """SELECT *, lead(seq) OVER (
+        PARTITION BY source_table, operate_type ORDER BY seq) AS until FROM rule_change""",
     "search": """SELECT text, make_timestamp((1615766400 + doc_id * 60) * 1000000) AS at_time
         FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 7 <> 0""",
     "entry_word": r"""SELECT DISTINCT word FROM (
@@ -313,6 +316,7 @@ ORACLE: dict[str, str] = {
         substr(p_brand, 7) AS "tmId", (p_size % 6)::VARCHAR AS "category3Id"
         FROM part WHERE p_partkey = 17""",
     "province_stats": PROVINCE_STATS,
+    "province_stats_clock": f"SELECT stt, edt, province_id, order_count, true AS is_now FROM ({PROVINCE_STATS})",
     "stream_province_stats": PROVINCE_STATS,
     "product_measures": _with("info detail joined payment paid logrow page display_row",
                               f"SELECT sku_id, {COUNTS}, {AMOUNTS} FROM ({PARTS}) GROUP BY sku_id",
@@ -344,6 +348,12 @@ ORACLE: dict[str, str] = {
             coalesce(sum(sv), 0)::BIGINT AS sv_ct, coalesce(sum(uj), 0)::BIGINT AS uj_ct,
             coalesce(sum(dur), 0)::BIGINT AS dur_sum, min(ts) AS ts
         FROM ({VISITOR_PARTS}) GROUP BY ALL""", timeout="3600000"),
+    "stream_visitor_stats": _with("logrow page entry uniques jumps", f"""
+        SELECT {_window('at_time', '1 hour')}, vc, ch, ar, is_new,
+            coalesce(sum(uv), 0)::BIGINT AS uv_ct, coalesce(sum(pv), 0)::BIGINT AS pv_ct,
+            coalesce(sum(sv), 0)::BIGINT AS sv_ct, coalesce(sum(uj), 0)::BIGINT AS uj_ct,
+            coalesce(sum(dur), 0)::BIGINT AS dur_sum, min(ts) AS ts
+        FROM ({VISITOR_PARTS}) GROUP BY ALL""", timeout="3600000"),
     "stream_page_stats": _with("logrow page", f"""
         SELECT {_window('at_time', '1 hour')}, vc, ch, ar, is_new, count(*) AS pv_ct,
             sum(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END)::BIGINT AS sv_ct,
@@ -411,6 +421,15 @@ ORACLE: dict[str, str] = {
     "nonempty_changes": _with("change changed",
                               'SELECT "table", type, data, seq FROM changed WHERE seq % 16 <> 0'),
     "latest_rules": _with("rule_change rule", "SELECT * FROM rule"),
+    "rule_versions": _with("rule_change", "SELECT * EXCLUDE (sink_extend, seq), seq AS since FROM rule_change"),
+    "route_asof": _with("change changed rule_change rule_version routed", """SELECT "table", type,
+        sink_type, sink_table, pk AS sink_pk, cut AS data, seq FROM routed""").replace(
+        "JOIN rule r ON", "JOIN rule_version r ON NOT r.gone AND c.seq >= r.seq AND c.seq < coalesce("
+        "r.until, 9223372036854775807) AND"),
+    "unrouted_asof": _with("change rule_change rule_version", """SELECT "table", type, seq FROM change c
+        WHERE NOT EXISTS (SELECT 1 FROM rule_version r
+        WHERE r.source_table = c."table" AND r.operate_type = c.type AND r.sink_type IN ('kafka', 'hbase')
+        AND NOT r.gone AND c.seq >= r.seq AND c.seq < coalesce(r.until, 9223372036854775807))"""),
     "route_facts": _with("change changed rule_change rule routed", """SELECT sink_table,
         pk AS sink_pk, cut AS data, seq FROM routed WHERE sink_type = 'kafka'"""),
     "route_dims": _with("change changed rule_change rule routed", """SELECT sink_table,

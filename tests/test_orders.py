@@ -135,3 +135,12 @@ def test_times(spark):
     for odd in ("2021-03-15 10:0:5.1", "2021-3-15 010:00:00", "2021-03-15 12:00:0 "):
         assert spark.range(1).select(parse_time(F.lit(odd))).first()[0] is None
     assert interval_millis("15 minutes") == 900_000
+
+
+def test_a_key_finds_the_row_with_its_own_text(spark):
+    """Keys "7", "07" and " 7" all cast to 7; the text of the key is "7"."""
+    facts = spark.createDataFrame([(7, "a"), (8, "b")], "k bigint, f string")
+    dimension = spark.createDataFrame([("7", "seven"), ("07", "other"), (" 7", "blank"), ("x", "none"), (None, "n")],
+                                      "id string, name string")
+    joined = dims.join_dimension(facts, dimension, "k", {"name": "name"})
+    assert sorted(map(tuple, joined.select("k", "name").collect())) == [(7, "seven"), (8, None)]

@@ -178,3 +178,27 @@ def test_deletes(spark):
     assert values(removed, "id", "name") == [("2", None)]
     with pytest.raises(ValueError):
         change_rows(rows, on_delete="maybe")
+
+
+def test_rules_as_of_each_change(spark):
+    """A rule changes, goes and comes again between the changes of one batch."""
+    def version(seq, columns, kind="update"):
+        rule = {"source_table": "t", "operate_type": "insert", "sink_type": "kafka", "sink_table": f"x{seq}",
+                "sink_columns": columns, "sink_pk": ""}
+        return (kind, None if kind == "delete" else rule, rule if kind == "delete" else None, seq)
+    versions = routing.rule_versions(spark.createDataFrame(
+        [version(10, "id"), version(20, "id,a"), version(30, "id", "delete"), version(40, "b"),
+         version(40, "id", "delete"), version(50, "b")],
+        "type string, data map<string,string>, before map<string,string>, seq bigint"))
+    rows = spark.createDataFrame(
+        [("t", "insert", {"id": "1", "a": "2", "b": "3"}, None, n) for n in (5, 10, 19, 20, 29, 30, 39, 40, 50, 99)]
+        + [("t", "insert", {"b": "3"}, None, None), ("t", "update", {"id": "1"}, None, 99)],
+        "table string, type string, data map<string,string>, before map<string,string>, seq bigint")
+    got = sorted(((r.seq or 0, r.sink_table, sorted(r.data), r.sink_pk)
+                  for r in routing.route_as_of(rows, versions).collect()))
+    assert got == [(0, "x50", ["b"], "id"), (10, "x10", ["id"], "id"), (19, "x10", ["id"], "id"),
+                   (20, "x20", ["a", "id"], "id"), (29, "x20", ["a", "id"], "id"),
+                   (50, "x50", ["b"], "id"), (99, "x50", ["b"], "id")]
+    left = routing.unrouted_as_of(rows, versions)
+    assert sorted((r.type, r.seq) for r in left.collect()) == [
+        ("insert", 5), ("insert", 30), ("insert", 39), ("insert", 40), ("update", 99)]

@@ -250,6 +250,33 @@ def test_changes_that_go_nowhere_are_kept(spark, folder):
     assert [json.loads(v)["table"] for v in topic("unrouted")] == ["nowhere"]
 
 
+def test_rules_that_change_within_a_batch(spark, folder):
+    house = Warehouse(spark, Topics(folder), DimensionStore(spark, f"{folder}/dims"),
+                      SummarySink(f"{folder}/sums"), f"{folder}/state", once=True, rules_as_of=True)
+    put_files(folder, TOPICS["raw_db"], [json.dumps(
+        {"table": "t", "type": "insert", "data": {"id": str(n)}, "seq": n}) for n in (1, 5, 9)], files=1)
+    rules = spark.createDataFrame(
+        [("update", {"source_table": "t", "operate_type": "insert", "sink_type": "kafka",
+                     "sink_table": f"out{n}", "sink_columns": "id"}, None, n) for n in (4, 8)],
+        "type string, data map<string,string>, before map<string,string>, seq long")
+    house.route_changes(lambda: rules).awaitTermination()
+    for topic, want in (("out4", ['{"id":"5"}']), ("out8", ['{"id":"9"}'])):
+        lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/topic={topic}")
+        assert [r.value for r in lines.collect()] == want
+    left = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/topic={TOPICS['unrouted']}")
+    assert [json.loads(r.value)["seq"] for r in left.collect()] == [1]
+
+
+def test_payments_without_a_time_have_a_topic(spark, folder):
+    house = Warehouse(spark, Topics(folder), DimensionStore(spark, f"{folder}/dims"),
+                      SummarySink(f"{folder}/sums"), f"{folder}/state", once=True)
+    put_files(folder, TOPICS["payment"], [json.dumps({"id": n, "create_time": t}) for n, t in (
+        (1, "2021-03-15 12:00:00"), (2, "yesterday"), (3, None))], files=1)
+    house.untimed_payments().awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/topic={TOPICS['untimed_payment']}")
+    assert sorted(json.loads(r.value)["id"] for r in lines.collect()) == [2, 3]
+
+
 def test_whole_warehouse(spark, folder):
     """Raw lines and database changes through all jobs to the four summary tables."""
     house = Warehouse(spark, Topics(folder, files_per_trigger=1),

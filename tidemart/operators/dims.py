@@ -13,13 +13,14 @@ def join_dimension(facts: DataFrame, dimension: DataFrame, fact_key: str,
                    dimension_key: str = "id") -> DataFrame:
     """Add `columns` (new name -> dimension column) by key.
 
-    Stored keys are text and are cast to the type of the fact's key. The dimension holds one
+    Stored keys are text and are cast to the type of the fact's key, where the text is the one that this
+    type has for the key: 7 finds "7" and not "07", so a key finds one row. The dimension holds one
     row per key. Nothing is hinted: a dimension that Spark's statistics show to be small is
     broadcast; a large one is joined by shuffle, where AQE splits the partitions of hot keys.
     """
     key = F.col(dimension_key).try_cast(facts.schema[fact_key].dataType)
     added = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
-    keyed = dimension.select(key.alias("_key"), *added).where(F.col("_key").isNotNull())
+    keyed = dimension.where(key.cast("string") == F.col(dimension_key)).select(key.alias("_key"), *added)
     kept = [c for c in facts.columns if c not in columns]
     return facts.select(*kept).join(keyed, F.col(fact_key) == F.col("_key"), how).drop("_key")
 

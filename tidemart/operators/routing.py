@@ -42,6 +42,54 @@ def latest_rules(changes: DataFrame) -> DataFrame:
             .select(*schemas.RULE_COLUMNS))
 
 
+def rule_versions(changes: DataFrame) -> DataFrame:
+    """Every version of the rules, from the changes of the rule table: their columns, `since` (the
+    number from which it counts) and `gone` (a delete).
+
+    Of changes with one number the one that `latest_rules` would take counts.
+    """
+    row = F.when(F.col("type") == "delete", F.col("before")).otherwise(F.col("data"))
+    rules = changes.select(*[row[c].alias(c) for c in schemas.RULE_COLUMNS],
+                           F.coalesce("seq", F.lit(0)).cast("bigint").alias("since"),
+                           (F.col("type") == "delete").alias("gone"))
+    first = Window.partitionBy("source_table", "operate_type", "since").orderBy(
+        F.desc("gone"), *[F.desc(c) for c in schemas.RULE_COLUMNS])
+    return rules.withColumn("rank", F.row_number().over(first)).where("rank = 1").drop("rank")
+
+
+def rules_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """The changes with `rule`: the version that counts at each one's own number, null if none does.
+
+    A version counts from its number up to the next one's; changes and rules are numbered together, as
+    a capture tool numbers all changes of one database. The versions of a rule are folded into one row,
+    so a change meets one row, not every version; a change without a number takes the newest.
+    """
+    ruled = [c for c in versions.columns if c not in ("source_table", "operate_type")]
+    folded = versions.groupBy("source_table", "operate_type").agg(
+        F.array_sort(F.collect_list(F.struct("since", *[c for c in ruled if c != "since"]))).alias("_versions"))
+    on = [changes["table"] == folded["source_table"], changes["type"] == folded["operate_type"]]
+    reached = F.filter("_versions", lambda v: v["since"] <= F.coalesce(changes["seq"], F.lit((1 << 63) - 1)))
+    now = F.when(F.size(reached) > 0, F.element_at(reached, -1))
+    return changes.join(folded, on, "left").select(
+        *[changes[c] for c in changes.columns], F.when(~now["gone"], now).alias("rule"))
+
+
+def route_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """`route` by the rules valid as of each change, so that a rule may change between two of them."""
+    ruled = rules_as_of(changes, versions).where(F.coalesce("rule.sink_table", F.lit("")) != "")
+    data = keep_columns(F.col("data"), F.col("rule.sink_columns")).alias("data")
+    return ruled.select(
+        *[data if c == "data" else F.col(c) for c in changes.columns], "rule.sink_type",
+        "rule.sink_table", F.coalesce(F.nullif("rule.sink_pk", F.lit("")), F.lit("id")).alias("sink_pk"))
+
+
+def unrouted_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
+    """Changes that no rule, or one for another kind of sink, serves as of their own number."""
+    served = F.col("rule.sink_type").isin(codes.SINK_TYPE["fact"], codes.SINK_TYPE["dimension"]) & (
+        F.coalesce("rule.sink_table", F.lit("")) != "")
+    return rules_as_of(changes, versions).where(~F.coalesce(served, F.lit(False))).select(*changes.columns)
+
+
 def keep_columns(data: Column, sink_columns: Column) -> Column:
     """Only the entries whose key stands in the comma list; no trimming."""
     wanted = F.split(sink_columns, ",")

@@ -43,6 +43,11 @@ KEYED_CHANGE = struct(key=_TEXT, seq=_LONG, type=_TEXT, data=_TEXTS)
 # The columns of a stored dimension, in order.
 STORED_COLUMN = struct(position=_LONG, name=_TEXT)
 
+# A version of a rule, as the routing job notes it down.
+RULE_VERSION = struct(**{c: _TEXT for c in (
+    "source_table", "operate_type", "sink_type", "sink_table", "sink_columns", "sink_pk",
+    "sink_extend")}, since=_LONG, gone=T.BooleanType())
+
 # First row flagged new, per device.
 FIRST_VISIT = struct(mid=_TEXT, ts=_LONG)
 

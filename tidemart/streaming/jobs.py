@@ -24,7 +24,7 @@ from tidemart.operators import routing
 from tidemart.operators import visitor_stats as visitor_ops
 from tidemart.operators import visits
 from tidemart.operators.dims import product_dimension
-from tidemart.operators.payments import join_payments
+from tidemart.operators.payments import join_payments, untimed_payments
 from tidemart.sources.batches import BatchTable
 from tidemart.sources.changes import normalise_changes, read_envelopes
 from tidemart.sources.dimensions import DimensionStore
@@ -42,6 +42,7 @@ TOPICS = {
     "refund": "dwd_order_refund_info", "comment": "dwd_comment_info",
     "unique_visit": "dwm_unique_visit", "user_jump": "dwm_user_jump_detail",
     "order_wide": "dwm_order_wide", "payment_wide": "dwm_payment_wide",
+    "untimed_payment": "dwm_untimed_payment",
 }
 DIMENSIONS = {
     "user": "dim_user_info", "province": "dim_base_province", "sku": "dim_sku_info",
@@ -78,6 +79,7 @@ class Warehouse:
     lag: str = "5 minutes"
     delay: str | None = None
     timers: bool = True
+    rules_as_of: bool = False
     day_start: str = "0 hours"
     on_delete: str = "ignore"
     as_of: str | None = None
@@ -157,22 +159,27 @@ class Warehouse:
 
         `rule_changes` is a callable that gives the changes of the rule table so far; it is
         called for every micro-batch, so a new rule counts from the next batch on. The rules of a
-        batch are written down before they are used: a replay routes by the same ones.
+        batch are written down before they are used: a replay routes by the same ones. With
+        `rules_as_of` their versions are, and each change takes the version of its own number.
         """
-        noted = BatchTable(self.spark, f"{self.state.rstrip('/')}/rules",
-                           schemas.dimension(schemas.RULE_COLUMNS))
+        as_of = self.rules_as_of
+        noted = BatchTable(self.spark, f"{self.state.rstrip('/')}/{'rule_versions' if as_of else 'rules'}",
+                           schemas.RULE_VERSION if as_of else schemas.dimension(schemas.RULE_COLUMNS))
+        known = routing.rule_versions if as_of else routing.latest_rules
+        route, unrouted = (routing.route_as_of, routing.unrouted_as_of) if as_of else (
+            routing.route, routing.unrouted)
 
         def work(batch: DataFrame, batch_id: int) -> None:
             if not noted.has(batch_id):
-                noted.append(routing.latest_rules(rule_changes()), batch_id)
+                noted.append(known(rule_changes()), batch_id)
             rules = noted.batches(after=batch_id - 1, before=batch_id + 1)
             self.dimensions.create_missing(rules)
             changes = routing.nonempty_changes(routing.parse_changes(batch)).persist()
-            routed = routing.route(changes, rules).persist()
+            routed = route(changes, rules).persist()
             try:
                 lines = routing.fact_payload(routing.fact_branch(routed))
                 for name, left in (("dirty_db", log_ops.dirty_lines(batch)),
-                                   ("unrouted", to_topic(routing.unrouted(changes, rules)))):
+                                   ("unrouted", to_topic(unrouted(changes, rules)))):
                     lines = lines.unionByName(
                         left.select(F.lit(self.names[name]).alias("topic"), "value"))
                 self.topics.put_routed(lines, batch_id)
@@ -210,6 +217,11 @@ class Warehouse:
             self.topics.put(to_topic(wide), self.names["order_wide"], batch_id)
         return self._start(each_batch(joined, work), "order_wide")
 
+    def untimed_payments(self) -> StreamingQuery:
+        """Payments without a readable time, which the join leaves out, to a topic of their own."""
+        return self._to_topic(untimed_payments(self._rows("payment", schemas.PAYMENT_INFO)),
+                              "untimed_payment", "untimed_payments")
+
     def payment_wide(self) -> StreamingQuery:
         joined = join_payments(self._rows("payment", schemas.PAYMENT_INFO),
                                self._rows("order_wide", schemas.ORDER_WIDE),
