@@ -20,10 +20,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tidemart.llm.shared import small_batches
+from tidemart.llm.shared import giving_back, small_batches
 
 CHARS_AT_ONCE = 1 << 19
-MOST_EDGES = 6_000_000       # lattice edges that a Python worker remembers, 24 bytes each
+MOST_EDGES = 2_000_000       # lattice edges that a Python worker remembers, 24 bytes each
 SHORT = 40                   # units of up to so many characters are built together
 STEP = 2.0 ** -30            # resolution of the uniform numbers
 WORD_UNIT = re.compile(r" *[^\W\d_]+|[^\W\d_ ]+| *(?:(?![^\W\d_])[^ ])+| +")
@@ -138,7 +138,7 @@ class Lattices:
     def clear(self) -> None:
         self.first: dict[str, int] = {}
         self.count = 0
-        room = MOST_EDGES + MOST_EDGES // 4     # pages are taken as they are written
+        room = MOST_EDGES       # pages are taken as they are written; `store` makes more room
         self.sums, self.chance = np.empty(room), np.empty(room)
         self.code, self.target = np.empty(room, np.int32), np.empty(room, np.int32)
 
@@ -504,7 +504,7 @@ def sampled(documents: DataFrame, model_file: str, k: int = 2, text: str = "text
         finally:
             lat.clear()     # workers outlive their tasks
 
-    return small_batches(rows).mapInArrow(run, schema)
+    return small_batches(rows).mapInArrow(giving_back(run), schema)
 
 
 def decoded(encoded: DataFrame, model_file: str, ids: str = "ids", text: str = "text") -> DataFrame:
