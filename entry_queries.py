@@ -600,6 +600,25 @@ def stream_visitor_stats(spark, d):
         house.summaries.folder(SUMMARIES["visitor"]))
 
 
+def stream_late_pages(spark, d):
+    """The late pages of four micro-batches, dealt by number, that each cover all times."""
+    house = warehouse(spark, shared_dir(spark))
+    house.width, house.lag = "1 hour", "1 day"
+    house.topics = Topics(house.topics.root, files_per_trigger=1)
+    folder, pages = house.topics.folder(house.names["page"]), shop.page_log(spark, d)
+    for n in range(4):
+        rows = pages.where(F.col("seq") % 4 == n).withColumn("page", F.col("page").withField(
+            "item", F.col("seq").cast("string")))
+        to_topic(rows.drop("seq")).coalesce(1).write.mode("append").text(folder)
+    house.late_pages().awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(house.topics.folder(house.names["late_page"]))
+    found = logs.parse_logs(lines)
+    counted = spark.read.option("recursiveFileLookup", "true").parquet(
+        house.summaries.folder(SUMMARIES["late"])).agg(F.sum("late_ct")).first()[0]
+    return found.select("common.mid", F.col("page.item").cast("bigint").alias("seq"), "ts",
+                        F.lit(counted).cast("bigint").alias("counted"))
+
+
 def stream_product_stats(spark, d):
     """Pages and order lines as streams, with distinct order counts; the other five inputs of the
     statistics are not part of it."""
@@ -690,6 +709,7 @@ QUERIES: dict[str, Query] = {
     "stream_user_jump_timers": stream_user_jump_timers,
     "stream_page_stats": stream_page_stats,
     "stream_visitor_stats": stream_visitor_stats,
+    "stream_late_pages": stream_late_pages,
     "stream_product_stats": stream_product_stats,
     "stream_keyword_stats": stream_keyword_stats,
 }

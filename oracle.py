@@ -354,6 +354,9 @@ ORACLE: dict[str, str] = {
             coalesce(sum(sv), 0)::BIGINT AS sv_ct, coalesce(sum(uj), 0)::BIGINT AS uj_ct,
             coalesce(sum(dur), 0)::BIGINT AS dur_sum, min(ts) AS ts
         FROM ({VISITOR_PARTS}) GROUP BY ALL""", timeout="3600000"),
+    "stream_late_pages": _with("logrow page", """SELECT mid, seq, ts, count(*) OVER () AS counted
+        FROM page p WHERE (ts // 3600000 + 1) * 3600000 <= (
+            SELECT max(ts) - 86400000 FROM page e WHERE e.seq % 4 <= p.seq % 4 - 2)"""),
     "stream_page_stats": _with("logrow page", f"""
         SELECT {_window('at_time', '1 hour')}, vc, ch, ar, is_new, count(*) AS pv_ct,
             sum(CASE WHEN coalesce(last_page_id, '') = '' THEN 1 ELSE 0 END)::BIGINT AS sv_ct,

@@ -17,6 +17,7 @@ from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics, console
 from tidemart.streaming.first_visits import FirstVisits
 from tidemart.streaming.jump_timers import timed_jumps
+from tidemart.streaming.late_rows import Ledger
 from tidemart.streaming.jobs import SUMMARIES, TOPICS, Warehouse
 
 T0 = 1615809600000
@@ -183,6 +184,36 @@ def test_late_rows_are_dropped(spark, folder):
     assert values(got, "pv_ct") == [(2,)]
 
 
+def test_late_rows_are_kept_and_counted(spark, folder):
+    """The branch keeps exactly what the windows of the statistics drop."""
+    rows = [page("m", T0 + 60_000), page("m", T0 + 61_000), page("a", T0), page("b", T0 + 49_000),
+            page("c", T0 + 50_000), page("d", T0 + 61_000), page("m", FAR), page("m", FAR), page("e", T0)]
+    put_files(folder, TOPICS["page"], as_lines(rows), files=9)
+    house = Warehouse(spark, Topics(folder, files_per_trigger=1), DimensionStore(spark, f"{folder}/dims"),
+                      SummarySink(f"{folder}/sums"), f"{folder}/state", once=True, lag="1 second")
+    house.late_pages().awaitTermination()
+    lines = spark.read.option("recursiveFileLookup", "true").text(f"{folder}/topic={TOPICS['late_page']}")
+    kept = sorted(json.loads(r.value)["common"]["mid"] for r in lines.collect())
+    df = parse_topic(Topics(folder, files_per_trigger=1).read(spark, TOPICS["page"]), schemas.LOG).drop("start")
+    none = df.where("false")
+    stats = visitor_stats.visitor_stats(df, none, none, "10 seconds", "1 second")
+    _, dropped = run(spark, stats, folder, "late")
+    assert kept == ["a", "b", "c", "e"] and dropped == len(kept)
+    counts = spark.read.option("recursiveFileLookup", "true").parquet(f"{folder}/sums/{SUMMARIES['late']}")
+    assert values(counts, "stt", "late_ct") == [("2021-03-15 12:00:00", 1), ("2021-03-15 12:00:00", 1),
+                                                ("2021-03-15 12:00:40", 1), ("2021-03-15 12:00:50", 1)]
+
+
+def test_the_ledger_judges_a_replay_alike(spark, folder):
+    ledger = Ledger(spark, folder, "10 seconds")
+    rows = [spark.createDataFrame([(t,)], "ts bigint") for t in (50_000, 90_000, 70_000, 100_000)]
+    for n, df in enumerate(rows):
+        marks = [ledger.watermark(n) for _ in range(2)]
+        for _ in range(2):
+            ledger.note(df, n)
+        assert marks == [[None, None, 40_000, 80_000][n]] * 2
+
+
 def test_flags_across_batches_and_replays(spark, folder):
     visits_seen = FirstVisits(spark, folder)
     first = pages(spark, [page("a", 5, is_new="1"), page("a", 3, is_new="1"), page("b", 1)])

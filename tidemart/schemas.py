@@ -103,6 +103,7 @@ PAYMENT_WIDE = struct(
 # Column order of the summary tables; sinks insert by position.
 VISITOR_STATS_COLUMNS = ["stt", "edt", "vc", "ch", "ar", "is_new",
                          "uv_ct", "pv_ct", "sv_ct", "uj_ct", "dur_sum", "ts"]
+LATE_COLUMNS = ["stt", "edt", "late_ct"]
 PRODUCT_STATS_COLUMNS = [
     "stt", "edt", "sku_id", "sku_name", "sku_price", "spu_id", "spu_name", "tm_id", "tm_name",
     "category3_id", "category3_name", "display_ct", "click_ct", "favor_ct", "cart_ct",

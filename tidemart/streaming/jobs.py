@@ -32,6 +32,7 @@ from tidemart.sources.summaries import SummarySink
 from tidemart.sources.topics import Topics, each_batch, start
 from tidemart.streaming.first_visits import FirstVisits
 from tidemart.streaming.jump_timers import timed_jumps
+from tidemart.streaming.late_rows import Ledger, late, late_counts
 
 TOPICS = {
     "raw_log": "ods_base_log", "raw_db": "ods_base_db", "rules": "table_process",
@@ -42,7 +43,7 @@ TOPICS = {
     "refund": "dwd_order_refund_info", "comment": "dwd_comment_info",
     "unique_visit": "dwm_unique_visit", "user_jump": "dwm_user_jump_detail",
     "order_wide": "dwm_order_wide", "payment_wide": "dwm_payment_wide",
-    "untimed_payment": "dwm_untimed_payment",
+    "untimed_payment": "dwm_untimed_payment", "late_page": "dwm_late_page",
 }
 DIMENSIONS = {
     "user": "dim_user_info", "province": "dim_base_province", "sku": "dim_sku_info",
@@ -51,6 +52,7 @@ DIMENSIONS = {
 SUMMARIES = {
     "visitor": "visitor_stats_2021", "product": "product_stats_2021",
     "province": "province_stats_2021", "keyword": "keyword_stats_2021",
+    "late": "late_pages_2021",
 }
 
 
@@ -235,6 +237,27 @@ class Warehouse:
             self._rows("user_jump", schemas.LOG), self.width, self.lag)
         return self._to_summary(stats, "visitor", schemas.VISITOR_STATS_COLUMNS, "visitor_stats")
 
+    def late_pages(self) -> StreamingQuery:
+        """Pages that come too late for the windows of `visitor_stats`, to a topic of their own, and
+        their number by window to a summary table.
+
+        A query of its own: with `once` and the same files to a batch it meets the batches that the
+        statistics meet, and otherwise its own ones.
+        """
+        ledger = Ledger(self.spark, f"{self.state.rstrip('/')}/late_pages", self.lag)
+
+        def work(batch: DataFrame, batch_id: int) -> None:
+            rows = batch.persist()
+            try:
+                left = late(rows, ledger.watermark(batch_id), self.width)
+                self.topics.put(to_topic(left.drop("seq")), self.names["late_page"], batch_id)
+                self.summaries.put(late_counts(left, self.width), SUMMARIES["late"],
+                                   schemas.LATE_COLUMNS, batch_id)
+                ledger.note(rows, batch_id)
+            finally:
+                rows.unpersist()
+        return self._start(each_batch(self._rows("page", schemas.LOG, "seq"), work), "late_pages")
+
     def product_stats(self) -> StreamingQuery:
         measures = product_ops.product_measures(
             self._rows("page", schemas.LOG), self._rows("favor", schemas.FAVOR_INFO),
