@@ -91,7 +91,7 @@ def test_intervals_count_every_phrase_in_both_directions():
     rng = np.random.default_rng(4)
     ids = np.where(rng.random(3000) < 0.1, 0, rng.integers(1, 8, 3000))
     ids[0] = ids[-1] = 0
-    sides = phrases.Index.of(ids, 4), phrases.Index.of(ids[::-1], 4)
+    sides = [phrases.Index(phrases.before_each(x, 4)) for x in (ids, ids[::-1])]
     now = phrases.Intervals.single(sides[0], 7)
     for length in range(2, 5):
         now = now.extended(sides[0]) if length % 2 else now.turned().extended(sides[1]).turned()

@@ -21,10 +21,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemart.llm.shared import saved, small_batches
+from tidemart.llm.shared import giving_back, saved, small_batches
 
-WORDS = 3 << 20             # that a task gathers before it builds a shard of its largest language
-ROWS_AT_ONCE = 1 << 17      # phrases handed to Spark together
+WORDS = 1 << 20             # that a task gathers before it builds a shard of its largest language
+ROWS_AT_ONCE = 1 << 17      # places whose phrases grow together
 MOST_BITS = 1 << 27         # of a set of frequent phrases: 16 MB
 BITS_EACH = 64              # bits for each phrase, as long as MOST_BITS allows
 BUCKET = 1 << 15            # bits to a row while a set is made
@@ -33,24 +33,31 @@ SHARDS = "lang string, vocabulary array<string>, forward binary, backward binary
 COUNTS = "lang string, phrase string, n bigint"
 
 
+def before_each(ids: np.ndarray, depth: int) -> np.ndarray:
+    """The word before each of the places ordered by the `depth` words from them on: each step puts one word
+    before what is in order already."""
+    n = len(ids)
+    order = np.arange(1, n + 1, dtype=np.int64)
+    for _ in range(depth):
+        order -= 1
+        order[order < 0] += n
+        keys = ids[order] * np.int64(n)
+        keys += np.arange(n)
+        keys.sort()
+        keys %= n
+        order = order[keys]
+    return ids[order - 1].astype("<i4")
+
+
 class Index:
     """One direction: `before[i]` is the word before the i-th place, 0 at the edge of a piece."""
 
     def __init__(self, before: np.ndarray):
-        self.before, n = before.astype(np.int64), len(before)
-        self.n = n
-        self.occurrences = np.sort(self.before * n + np.arange(n))
-
-    @classmethod
-    def of(cls, ids: np.ndarray, depth: int) -> Index:
-        """Places ordered by the `depth` words from them on: one word is put before at a time."""
-        ids = ids.astype(np.int64)
-        n = len(ids)
-        order = np.sort(ids * n + np.arange(n)) % n
-        for _ in range(depth - 1):
-            order = order[np.sort(ids[order - 1] * n + np.arange(n)) % n] - 1
-            order[order < 0] += n
-        return cls(ids[order - 1])
+        self.before, self.n = before, len(before)
+        self.occurrences = before.astype(np.int64)
+        self.occurrences *= self.n
+        self.occurrences += np.arange(self.n)
+        self.occurrences.sort()
 
     def starts(self, words: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Where the intervals begin that `words` put before those at `at`."""
@@ -72,6 +79,12 @@ class Intervals:
     def where(self, kept: np.ndarray) -> Intervals:
         return Intervals(self.words[kept], self.n[kept], self.here[kept], self.there[kept])
 
+    def parts(self, rows: int) -> Iterator[Intervals]:
+        """The phrases in parts of some `rows` places together."""
+        part = (np.cumsum(self.n) - 1) // rows
+        for i in np.unique(part):
+            yield self.where(part == i)
+
     def turned(self) -> Intervals:
         """The same phrases read backward: the indexes change places."""
         return Intervals(self.words[:, ::-1], self.n, self.there, self.here)
@@ -80,9 +93,12 @@ class Intervals:
         """All phrases that one word more before these gives, by `index`, in which `here` counts."""
         own = np.repeat(np.arange(len(self.n)), self.n)
         first = np.cumsum(self.n) - self.n
-        rows = (self.here - first)[own] + np.arange(len(own))
         size = np.int64(index.before.max(initial=0) + 1)
-        keys, n = np.unique(own * size + index.before[rows], return_counts=True)
+        keys = (self.here - first)[own] + np.arange(len(own))
+        keys = own * size + index.before[keys]
+        keys.sort()
+        new = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+        keys, n = keys[new], np.diff(np.append(new, len(keys)))
         own, word = np.divmod(keys, size)
         smaller = np.cumsum(n) - n - first[own]     # of the same phrase, behind smaller words
         grown = Intervals(np.column_stack([word, self.words[own]]), n,
@@ -174,7 +190,7 @@ def shards(documents: DataFrame, text: str, lang: str, depth: int, words: int =
         for run in _runs(ids, words):
             kinds, own = np.unique(np.append(0, run), return_inverse=True)
             own = own[1:].astype(np.int64)
-            before = [Index.of(x, depth).before.astype("<i4").tobytes() for x in (own, own[::-1])]
+            before = [before_each(x, depth).tobytes() for x in (own, own[::-1])]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([name]), pa.array([known.take(pa.array(kinds[1:] - 1)).to_pylist()],
                                             pa.list_(pa.string())),
@@ -197,7 +213,7 @@ def shards(documents: DataFrame, text: str, lang: str, depth: int, words: int =
         for name, tokens in held.items():
             yield from built(name, tokens)
 
-    return small_batches(rows).mapInArrow(run, SHARDS)
+    return small_batches(rows).mapInArrow(giving_back(run), SHARDS)
 
 
 def counts(indexed: DataFrame, length: int, frequent: Frequent) -> DataFrame:
@@ -205,10 +221,7 @@ def counts(indexed: DataFrame, length: int, frequent: Frequent) -> DataFrame:
 
     Phrases grow at the left and at the right in turn.
     """
-    def found(name: str, known: pa.Array, sides: tuple[Index, Index]) -> Intervals:
-        now = Intervals.single(sides[0], len(known))
-        hashes = np.array([0, *[xxhash.xxh64_intdigest(w, 42) for w in known.cast(pa.binary()).to_pylist()]],
-                          np.uint64)
+    def found(name: str, now: Intervals, hashes: np.ndarray, sides: list[Index]) -> Intervals:
         for size in range(1, length):
             now = now.where(frequent.holds(phrase_hashes(name, now.words, hashes), size))
             if size % 2:
@@ -224,21 +237,24 @@ def counts(indexed: DataFrame, length: int, frequent: Frequent) -> DataFrame:
         for batch in batches:
             for i, name in enumerate(batch.column(0).to_pylist()):
                 known = batch.column(1)[i].values
-                sides = tuple(Index(np.frombuffer(batch.column(c)[i].as_buffer(), "<i4")) for c in (2, 3))
-                now = found(name, known, sides)
-                for at in range(0, len(now.n), ROWS_AT_ONCE):
-                    part = slice(at, at + ROWS_AT_ONCE)
-                    words = [known.take(pa.array(column - 1)) for column in now.words[part].T]
+                # phrases of one word need no index, those of two the forward one
+                sides = [Index(np.frombuffer(batch.column(c)[i].as_buffer(), "<i4"))
+                         for c in (2, 3)[:max(1, length - 1)]]
+                hashes = np.fromiter((xxhash.xxh64_intdigest(w.as_buffer(), 42) for w in known),
+                                     np.uint64, len(known)) if length > 1 else np.zeros(0, np.uint64)
+                for some in Intervals.single(sides[0], len(known)).parts(ROWS_AT_ONCE):
+                    now = found(name, some, np.append(np.uint64(0), hashes), sides)
+                    words = [known.take(pa.array(column - 1)) for column in now.words.T]
                     phrase = pc.binary_join_element_wise(*words, " ") if length > 1 else words[0]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name] * len(phrase), pa.string()), phrase, pa.array(now.n[part])],
+                        [pa.array([name] * len(phrase), pa.string()), phrase, pa.array(now.n)],
                         names=["lang", "phrase", "n"])
 
-    return indexed.mapInArrow(run, COUNTS)
+    return indexed.mapInArrow(giving_back(run), COUNTS)
 
 
 @contextmanager
-def few_at_once(spark: SparkSession, rows: int = 2) -> Iterator[None]:
+def few_at_once(spark: SparkSession, rows: int = 1) -> Iterator[None]:
     """Python gets `rows` rows at a time meanwhile: a shard is as large as a batch of texts."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
@@ -256,7 +272,9 @@ def phrase_counts(documents: DataFrame, text: str, lang: str, longest: int, leas
     indexed = saved(shards(documents, text, lang, longest, words), "shards")
     frequent, levels, total = Frequent(), [], None
     for length in range(1, longest + 1):
-        found = counts(indexed, length, frequent).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+        # a shard gives each phrase once: there is nothing to add up before the rows are dealt out
+        rows = counts(indexed, length, frequent).repartition("lang", "phrase")
+        found = rows.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
         with few_at_once(documents.sparkSession):
             found = saved(found if length == 1 else found.where(F.col("n") >= least), "phrases")
         if length == 1:
