@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import Observation
@@ -202,3 +203,33 @@ def test_rules_as_of_each_change(spark):
     left = routing.unrouted_as_of(rows, versions)
     assert sorted((r.type, r.seq) for r in left.collect()) == [
         ("insert", 5), ("insert", 30), ("insert", 39), ("insert", 40), ("update", 99)]
+
+
+def test_versions_are_not_listed_for_each_change(spark, monkeypatch):
+    """Many versions of many rules, numbers that repeat or are missing: each change finds the one version
+    that a search through all gives, and no list of versions travels with a change."""
+    monkeypatch.setattr(routing, "STRETCHES", 7)
+    rng = random.Random(5)
+    tables, kinds = ["t", "u", "v", None], ["insert", "update", None]
+    rules = [(rng.choice(tables), rng.choice(kinds), rng.randrange(400)) for _ in range(300)]
+    rules = {r: (f"x{i}", rng.random() < 0.2) for i, r in enumerate(rules)}
+    versions = spark.createDataFrame(
+        [(t, k, since, sink, gone, "kafka", "id", "") for (t, k, since), (sink, gone) in rules.items()],
+        "source_table string, operate_type string, since bigint, sink_table string, gone boolean, "
+        "sink_type string, sink_columns string, sink_pk string")
+    rows = [(rng.choice(tables), rng.choice(kinds), {"id": str(n)}, None,
+             rng.choice([None, 0, 399, *[rng.randrange(500) for _ in range(9)]])) for n in range(900)]
+    changes = spark.createDataFrame(
+        rows, "table string, type string, data map<string,string>, before map<string,string>, seq bigint")
+
+    def wanted(table, kind, data, _, seq):
+        reached = [(since, *found) for (t, k, since), found in rules.items() if t and k
+                   and (t, k) == (table, kind) and (seq is None or since <= seq)]
+        since, sink, gone = max(reached, default=(0, None, True))
+        return int(data["id"]), None if gone else sink
+
+    got = routing.rules_as_of(changes, versions)
+    assert sorted((int(r.data["id"]), r.rule and r.rule.sink_table) for r in got.collect()) == sorted(
+        (wanted(*r) for r in rows))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Join" not in plan

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidemart import codes, schemas
 from tidemart.functions.json_rows import is_json_object, parse_topic
 
+STRETCHES = 100     # of numbers, in which changes are sorted with the versions of their rules
+
 
 def parse_changes(lines: DataFrame, observation: Observation | None = None) -> DataFrame:
     """Typed change rows; bad lines are dropped, and counted where an observation is given.
@@ -61,17 +66,43 @@ def rules_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
     """The changes with `rule`: the version that counts at each one's own number, null if none does.
 
     A version counts from its number up to the next one's; changes and rules are numbered together, as
-    a capture tool numbers all changes of one database. The versions of a rule are folded into one row,
-    so a change meets one row, not every version; a change without a number takes the newest.
+    a capture tool numbers all changes of one database. A change without a number takes the newest.
+
+    Changes and versions are sorted together by number, so a change meets one version, however many
+    there are. Numbers are cut into STRETCHES with about as many changes each, so that the changes of
+    one table are no single group; a stretch begins with the version that those before it leave.
     """
-    ruled = [c for c in versions.columns if c not in ("source_table", "operate_type")]
-    folded = versions.groupBy("source_table", "operate_type").agg(
-        F.array_sort(F.collect_list(F.struct("since", *[c for c in ruled if c != "since"]))).alias("_versions"))
-    on = [changes["table"] == folded["source_table"], changes["type"] == folded["operate_type"]]
-    reached = F.filter("_versions", lambda v: v["since"] <= F.coalesce(changes["seq"], F.lit((1 << 63) - 1)))
-    now = F.when(F.size(reached) > 0, F.element_at(reached, -1))
-    return changes.join(folded, on, "left").select(
-        *[changes[c] for c in changes.columns], F.when(~now["gone"], now).alias("rule"))
+    shares = [i / STRETCHES for i in range(1, STRETCHES)]
+    bounds = sorted(set(changes.agg(F.percentile_approx("seq", shares, 1000)).first()[0] or []))
+
+    def stretch(number: str) -> Column:
+        return reduce(add, [(F.col(number) >= b).cast("int") for b in bounds], F.lit(0))
+
+    ruled = F.struct("since", *[c for c in versions.columns
+                                if c not in ("source_table", "operate_type", "since")])
+    key = ["_table", "_type", "_stretch"]
+    rules = versions.where("source_table IS NOT NULL AND operate_type IS NOT NULL").select(
+        F.col("source_table").alias("_table"), F.col("operate_type").alias("_type"),
+        stretch("since").alias("_stretch"), ruled.alias("rule"))
+    late = len(bounds) + 1 + F.pmod(F.xxhash64(F.map_entries("data")), F.lit(STRETCHES)).cast("int")
+    rows = changes.select(
+        F.col("table").alias("_table"), F.col("type").alias("_type"),
+        F.when(F.col("seq").isNull(), late).otherwise(stretch("seq")).alias("_stretch"),
+        F.coalesce("seq", F.lit((1 << 63) - 1)).alias("_at"), F.struct(*changes.columns).alias("_row"))
+    before = Window.partitionBy(*key[:2]).orderBy("_stretch").rowsBetween(
+        Window.unboundedPreceding, -1)
+    begin = (rows.select(*key).distinct().unionByName(rules, allowMissingColumns=True)
+             .groupBy(*key).agg(F.max("rule").alias("rule"))
+             .withColumn("rule", F.last("rule", ignorenulls=True).over(before))
+             .where("rule IS NOT NULL"))
+    # of one number the versions come first
+    line = rows.unionByName(rules.unionByName(begin).withColumn("_at", F.col("rule.since")),
+                            allowMissingColumns=True)
+    so_far = Window.partitionBy(*key).orderBy("_at", F.col("_row").isNotNull(), "rule").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    now = line.withColumn("rule", F.last("rule", ignorenulls=True).over(so_far))
+    return now.where("_row IS NOT NULL").select(
+        "_row.*", F.when(~F.col("rule.gone"), F.col("rule")).alias("rule"))
 
 
 def route_as_of(changes: DataFrame, versions: DataFrame) -> DataFrame:
