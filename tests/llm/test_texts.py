@@ -519,3 +519,23 @@ def test_records_of_one_id_and_text_are_spread(spark, documents):
     buckets = -(-df.agg(F.sum(size)).first()[0] // (1 << 14))
     at = shards.row_hash(F.col("doc_id").cast("string"), F.xxhash64(record).cast("string"), seed=23) % buckets
     assert df.groupBy(at).count().agg(F.max("count")).first()[0] < 4 * 3000 / buckets
+
+
+def test_near_duplicates_meet_by_fingerprints(spark):
+    """Near copies are found by their SimHash classes where they share no MinHash band; texts that only
+    have near fingerprints stay, as the similarity decides."""
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(1, " ".join(words), "en", "s"), (2, " ".join(words + ["end"]), "en", "s"),
+            (3, " ".join(words[::-1]), "en", "s")]
+    sets = [minhash.shingles(r[1].encode()) for r in rows]
+    fps = [simhash.fingerprint_of(s) for s in sets]
+    assert (fps[0] ^ fps[1]).bit_count() <= minhash.BITS_APART
+    classes = minhash._alike(spark.createDataFrame(
+        [(i, f if f < 1 << 63 else f - (1 << 64)) for i, f in enumerate(fps)], "node bigint, fp bigint"))
+    keys = {r["node"]: r["key"] for r in classes.collect()}
+    assert keys[0] == keys[1] != keys[2]
+    nodes = spark.createDataFrame([(i, [i], 7) for i in range(3)], "node bigint, bands array<bigint>, fp bigint")
+    whole = spark.createDataFrame([(i, s.view(np.int64).tolist()) for i, s in enumerate(sets)],
+                                  "node bigint, shingles array<bigint>")
+    found = minhash.links(nodes, lambda wanted: whole.join(wanted, "node"))
+    assert {(r["a"], r["b"]) for r in found.collect()} == {(0, 1)}

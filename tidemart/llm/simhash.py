@@ -32,11 +32,26 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = 42) -> int:
     spans = list(zip(starts, ends[width - 1:])) or [(0, len(joined))]
     ones = np.zeros(BITS, np.int64)
     for at in range(0, len(spans), AT_ONCE):
-        hashes = np.array([xxhash.xxh64_intdigest(joined[a:b], seed)
-                           for a, b in spans[at:at + AT_ONCE]], dtype="<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(spans), bitorder="little").tobytes(), "little")
+        ones += _ones(np.array([xxhash.xxh64_intdigest(joined[a:b], seed)
+                                for a, b in spans[at:at + AT_ONCE]], dtype="<u8"))
+    return _majority(ones, len(spans))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Majority bits of hashes at hand; 0 without any."""
+    ones = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), AT_ONCE):
+        ones += _ones(hashes[at:at + AT_ONCE].astype("<u8"))
+    return _majority(ones, len(hashes))
+
+
+def _ones(hashes: np.ndarray) -> np.ndarray:
+    bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(axis=0, dtype=np.int64)
+
+
+def _majority(ones: np.ndarray, n: int) -> int:
+    return int.from_bytes(np.packbits(2 * ones > n, bitorder="little").tobytes(), "little")
 
 
 def fingerprints(documents: DataFrame, text: str = "text", width: int = 3, seed: int = 42,
