@@ -1,11 +1,13 @@
 """Plans are the ones meant: what is pushed down, pruned, split, and what never appears."""
 
+import datetime
 import os
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
+import entry_queries
 from entry_queries import QUERIES
 from __spark_entry__ import queries
 from rows import frame, page, pages
@@ -181,3 +183,28 @@ def test_rules_are_joined_not_collected(spark):
         [("t", "insert", "kafka", "x", "id", None, None)],
         ", ".join(f"{c} string" for c in schemas.RULE_COLUMNS))
     assert routing.route(changes, rules).count() == 1
+
+
+def test_orders_are_made_wide_once_for_the_measures(spark, folder):
+    """The rows of orders and payments come from one written table, and no row is lost by that."""
+    def put(name, schema, *rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}.parquet")
+
+    put("orders", "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderpriority string", *[(n, n, "O", 10.0, "1") for n in range(20)])
+    put("lineitem", "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string",
+        *[(n, 8, 0, 2.0, 5.0, 0.0, "R", "F") for n in range(20)])
+    put("customer", "c_custkey long, c_name string", *[(n, "c") for n in range(20)])
+    put("nation", "n_nationkey long, n_name string, n_regionkey long", (1, "n", 1))
+    put("part", "p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double",
+        (8, "p", "Brand#12", 1, 1.0))
+    put("supplier", "s_suppkey long, s_name string", (1, "s"))
+    put("region", "r_regionkey long, r_name string", (1, "r"))
+    put("events", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string", (1, datetime.datetime(2021, 3, 15), 1, "purchase", 1.0, "{}"))
+    found = entry_queries.product_measures(spark, folder)
+    assert not any("customer" in f or "part.parquet" in f for f in found.inputFiles())
+    # order 0 is paid at a time that cannot be read, orders 16 to 19 too late
+    assert [(r.order_sku_num, float(r.order_amount), float(r.payment_amount), float(r.refund_amount), r.comment_ct)
+            for r in found.where("sku_id = 8").collect()] == [(40, 100.0, 75.0, 100.0, 20)]

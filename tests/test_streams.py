@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import entry_queries
 from rows import frame, page, pages, values
 from tidemart import schemas
 from tidemart.functions.json_rows import parse_topic, to_topic
@@ -455,3 +456,26 @@ def test_order_join_with_salts(spark, folder):
                                       for r in detail]))
     assert values(got, "order_id", "detail_id") == values(want, "order_id", "detail_id")
     assert to_topic(got).count() == got.count()
+
+
+def test_state_of_drained_streams_is_on_disk(spark, folder):
+    """The state is kept by RocksDB, and a join that gives matches alone ends with its last rows."""
+    lines = [f"{n % 50},{T0 // 1000 + n % 50}" for n in range(200)]
+    put_files(folder, "a", lines)
+
+    def side():
+        parts = F.split("value", ",")
+        rows = Topics(folder).read(spark, "a").select(
+            parts[0].alias("key"), F.timestamp_seconds(parts[1].cast("long")).alias("at"))
+        return rows.withWatermark("at", "1 second")
+
+    one, other = side().alias("x"), side().alias("y")
+    joined = one.join(other, F.expr("x.key = y.key AND x.at = y.at")).select("x.key")
+    rows = entry_queries.drain(joined, "drained", closing=False)
+    assert spark.read.parquet(rows).count() == 50 * 16
+    state = f"{rows.removesuffix('rows')}checkpoint"
+    files = [f for _, _, names in os.walk(f"{state}/state") for f in names]
+    assert any("changelog" in f or f.endswith(".zip") for f in files)
+    assert not any(f.endswith(".delta") for f in files)
+    assert [f for f in os.listdir(f"{state}/commits") if f.isdigit()] == ["0"]
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
