@@ -240,7 +240,7 @@ def test_rows_of_one_turn_are_spread_over_groups(spark):
 # --- registered queries ------------------------------------------------------------------
 def test_every_operator_is_registered():
     numbers = [int(name[2:].split("_")[0]) for name in QUERIES]
-    assert sorted(numbers) == list(range(1, 11)) and {*QUERIES, "pipeline"} <= set(queries())
+    assert sorted(numbers) == list(range(1, 14)) and {*QUERIES, "pipeline"} <= set(queries())
 
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
