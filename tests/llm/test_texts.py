@@ -539,3 +539,40 @@ def test_near_duplicates_meet_by_fingerprints(spark):
                                   "node bigint, shingles array<bigint>")
     found = minhash.links(nodes, lambda wanted: whole.join(wanted, "node"))
     assert {(r["a"], r["b"]) for r in found.collect()} == {(0, 1)}
+
+
+def test_few_pairs_of_a_crowd_are_compared(documents, monkeypatch):
+    """200 texts that are 0.75 alike, and 30 that are 0.8 like one of them: of the 26,335 pairs hardly more are
+    compared than are alike, and none of those is missed."""
+    rng = np.random.default_rng(11)
+    passage = [f"p{x}" for x in rng.integers(0, 9000, 154)]
+    rows = [(i, " ".join(passage + [f"own{i}x{k}" for k in range(25)]), "en", "s") for i in range(200)]
+    for i in range(30):
+        near = rows[i][1].split()
+        for place in (30, 80, 120):
+            near[place] = f"edit{i}x{place}"
+        rows.append((200 + i, " ".join(near), "en", "s"))
+    sets = [set(minhash.shingles(t.encode()).tolist()) for _, t, _, _ in rows]
+    assert 0.8 <= len(sets[0] & sets[200]) / len(sets[0] | sets[200]) < 0.86
+    assert 0.7 < len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.8
+    compared, similar = [], minhash._similar
+
+    def counted(pairs, *rest):
+        compared.append(pairs.count())
+        return similar(pairs, *rest)
+
+    monkeypatch.setattr(minhash, "_similar", counted)
+    kept = {r["doc_id"] for r in stages.without_near_duplicates(documents(rows)).collect()}
+    assert kept == set(range(200))
+    assert len(compared) == 2 and compared[1] <= 300
+
+
+def test_parities_differ_in_no_more_bits_than_the_sets():
+    rng = np.random.default_rng(12)
+    for n, other in ((5, 0), (400, 30), (3000, 3000), (1, 1)):
+        a = rng.integers(0, 1 << 63, n, np.uint64) * np.uint64(2)
+        b = np.append(a[other // 2:], rng.integers(0, 1 << 63, other, np.uint64))
+        bits = [minhash.parities(s) for s in (a, b)]
+        unlike = sum(int(x).bit_count() for x in (bits[0] ^ bits[1]).view(np.uint64))
+        assert len(bits[0]) == minhash.LONGS and unlike <= len(set(a.tolist()) ^ set(b.tolist()))
+        assert unlike >= other / 4 or other == 3000
