@@ -576,3 +576,22 @@ def test_parities_differ_in_no_more_bits_than_the_sets():
         unlike = sum(int(x).bit_count() for x in (bits[0] ^ bits[1]).view(np.uint64))
         assert len(bits[0]) == minhash.LONGS and unlike <= len(set(a.tolist()) ^ set(b.tolist()))
         assert unlike >= other / 4 or other == 3000
+
+
+def test_noise_is_drawn_for_all_texts_at_once(tiny, monkeypatch):
+    calls, noise = [], pieces.noise
+
+    def counted(*args):
+        calls.append(args)
+        return noise(*args)
+
+    monkeypatch.setattr(pieces, "noise", counted)
+    lat, found = pieces.Lattices(tiny), []
+    for texts in (["abcé ab"] * 3, ["abcé ab"] * 300):
+        calls.clear()
+        found.append(pieces.sample(lat, texts, list(range(len(texts))), 2))
+        found.append(len(calls))
+    assert max(found[1], found[3]) < 40     # some calls a step of the longest path, none for each text
+    for few, many in zip(found[0], found[2]):
+        for a, b in zip(few, many):
+            assert a[0].tolist() == b[0].tolist() and a[1:] == pytest.approx(b[1:], rel=1e-9)

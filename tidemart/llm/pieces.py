@@ -146,9 +146,9 @@ class Lattices:
         """Units that are new, many at once; places at the same distance from their unit's end
         are summed together. Longer units, or such with tiny weights, one by one."""
         short = [u for u in units if len(u) <= SHORT]
-        lost = [u for u in units if len(u) > SHORT]
+        lost = [u for u in units if len(u) > SHORT] if len(short) < len(units) else []
         if short:
-            lengths = np.array([len(u) for u in short])
+            lengths = np.array(list(map(len, short)))
             points = np.frombuffer("".join(short).encode("utf-32-le"), np.uint32).astype(np.int64)
             ends = np.repeat(np.cumsum(lengths), lengths)
             place, length, code, weight = self.edges(points, ends)
@@ -166,11 +166,8 @@ class Lattices:
                     weight[of] * mass[behind[of]], n_edges[low:high] - n_edges[low])
             node = np.append(np.cumsum(degree) - degree + self.count, -1)
             fine = np.minimum.reduceat(mass[:-1], np.cumsum(lengths) - lengths) > 1e-250
-            for u, first, good in zip(short, node[np.cumsum(lengths) - lengths].tolist(), fine):
-                if good:
-                    self.first[u] = first
-                else:
-                    lost.append(u)
+            self.first.update(zip(short, node[np.cumsum(lengths) - lengths].tolist()))
+            lost += [short[i] for i in np.flatnonzero(~fine)]     # `add_long` gives their nodes anew
             with np.errstate(divide="ignore", invalid="ignore"):
                 chance = weight * mass[behind] / mass[place]
             self.store(code, np.nan_to_num(chance), node[behind], degree)
@@ -327,15 +324,15 @@ def sample(lat: Lattices, texts: list[str], seeds: list[int], k: int
     _extend(lat, [(w, None, value, 0, ()) for w, value in zip(works, firsts)], 0)
     for draw in range(1, k):
         todo = []
-        for w in works:
+        chances = noise(np.array(seeds, np.uint64), 3, draw).tolist() if seeds else []
+        for w, u in zip(works, chances):
             value, path, t = w.best()
             if value == -math.inf:
                 continue
             edges, (from_t, cells) = w.paths[path][1], w.cells[path]
             cells[t - from_t] = -math.inf
             shut = (*(w.shut[path] if t == from_t else ()), int(edges[t]))
-            edge = _other(lat, int(edges[t]), shut, float(
-                noise(np.array([w.seed], np.uint64), 3, draw)[0]))
+            edge = _other(lat, int(edges[t]), shut, u)
             todo.append((w, (path, edge), value, t, shut))
         _extend(lat, todo, draw)
     out = []
