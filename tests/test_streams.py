@@ -1,5 +1,6 @@
 """Streams give what batch gives, over several files and micro-batches."""
 
+import datetime
 import json
 import os
 import random
@@ -479,3 +480,53 @@ def test_state_of_drained_streams_is_on_disk(spark, folder):
     assert not any(f.endswith(".delta") for f in files)
     assert [f for f in os.listdir(f"{state}/commits") if f.isdigit()] == ["0"]
     assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled") == "true"
+
+
+def shop_tables(spark, folder, n=40):
+    """Tables of one shop day with `n` orders of one line each; one row to order 0 closes the windows."""
+    def put(name, schema, *rows):
+        made = f"{folder}/made/{name}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(made)
+        part = next(f for f in os.listdir(made) if f.endswith(".parquet"))
+        os.replace(f"{made}/{part}", f"{folder}/{name}.parquet")
+
+    put("orders", "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderpriority string", *[(i, i, "O", 10.0, "1") for i in range(n)])
+    put("lineitem", "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string",
+        *[(i, 8, 0, 2.0, 5.0, 0.0, "R", "F") for i in range(n)])
+    put("customer", "c_custkey long, c_name string", *[(i, "c") for i in range(n)])
+    put("nation", "n_nationkey long, n_name string, n_regionkey long", *[(i, "n", 1) for i in range(26)])
+    put("part", "p_partkey long, p_name string, p_brand string, p_size int, p_retailprice double",
+        (8, "p", "Brand#12", 1, 1.0))
+    put("supplier", "s_suppkey long, s_name string", (8, "s"))
+    put("region", "r_regionkey long, r_name string", (1, "r"))
+    put("events", "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string", *[(i, datetime.datetime(2021, 3, 15), 1, "click", 1.0, '{"k": "8"}') for i in range(4)])
+    return folder
+
+
+def drained(spark, folder, name, monkeypatch):
+    """The rows of a registered stream, and the files of the state of each stream that it drains."""
+    states, drain = [], entry_queries.drain
+
+    def noted(*args, **more):
+        rows = drain(*args, **more)
+        states.append([f for _, _, names in os.walk(f"{rows.removesuffix('rows')}checkpoint/state")
+                       for f in names if not f.endswith(".crc")])
+        return rows
+
+    monkeypatch.setattr(entry_queries, "drain", noted)
+    return entry_queries.QUERIES[name](spark, shop_tables(spark, folder)).collect(), states
+
+
+def test_order_join_writes_its_state_once(spark, folder, monkeypatch):
+    """The state holds what the join needs, as files of the store, without a log of the same; the
+    settings for that are those of the drained query alone."""
+    changelogs = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    rows, states = drained(spark, folder, "stream_order_join", monkeypatch)
+    assert len(rows) == 40 and {(r.create_date, r.create_hour) for r in rows} == {("2021-03-15", "00")}
+    assert len(states) == 1 and any(f.endswith(".sst") for f in states[0])
+    assert not any(f.endswith(".changelog") for f in states[0])
+    assert spark.conf.get(changelogs) == "true"
+    assert spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit") == "false"

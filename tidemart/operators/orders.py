@@ -38,10 +38,11 @@ def join_order_details(orders: DataFrame, details: DataFrame, before: str = "5 s
                        salts: int = 1) -> DataFrame:
     """Orders with their details, created at most `before` earlier or `after` later.
 
-    Both bounds included. The same plan serves batch and streams.
+    Both bounds included. The same plan serves batch and streams. What follows from other columns is
+    made behind the join, so that it is neither shuffled nor kept as state.
     """
-    left = with_event_time(order_times(orders), F.timestamp_millis("create_ts"), delay, "order_at")
-    right = with_event_time(detail_times(details), F.timestamp_millis("create_ts"), delay,
+    left = with_event_time(orders, F.timestamp_millis(text_to_millis("create_time")), delay, "order_at")
+    right = with_event_time(details, F.timestamp_millis(text_to_millis("create_time")), delay,
                             "detail_at")
     if salts > 1:
         right, left = spread(right, left, F.struct("id", "sku_id"), salts)
@@ -50,15 +51,15 @@ def join_order_details(orders: DataFrame, details: DataFrame, before: str = "5 s
         f"d.detail_at BETWEEN o.order_at - INTERVAL {before} AND o.order_at + INTERVAL {after}")
     if salts > 1:
         on = on & (F.col("o._salt") == F.col("d._salt"))
-    joined = order.join(detail, on, "inner")
-    return joined.select(
+    joined = order.join(detail, on, "inner").select(
         F.col("d.id").alias("detail_id"), F.col("o.id").alias("order_id"), "d.sku_id",
         "d.order_price", "d.sku_num", "d.sku_name", "o.province_id", "o.order_status",
         "o.user_id", "o.total_amount", "o.activity_reduce_amount", "o.coupon_reduce_amount",
         "o.original_total_amount", "o.feight_fee",
         F.lit(None).cast(schemas.MONEY).alias("split_feight_fee"),
         "d.split_activity_amount", "d.split_coupon_amount", "d.split_total_amount",
-        "o.expire_time", "o.create_time", "o.operate_time", "o.create_date", "o.create_hour")
+        "o.expire_time", "o.create_time", "o.operate_time")
+    return order_times(joined).drop("create_ts")
 
 
 def enrich_orders(wide: DataFrame, users: DataFrame, provinces: DataFrame, products: DataFrame,
