@@ -530,3 +530,11 @@ def test_order_join_writes_its_state_once(spark, folder, monkeypatch):
     assert not any(f.endswith(".changelog") for f in states[0])
     assert spark.conf.get(changelogs) == "true"
     assert spark.conf.get("spark.sql.streaming.stateStore.unloadOnCommit") == "false"
+
+
+def test_province_stats_write_the_state_of_both_jobs_once(spark, folder, monkeypatch):
+    rows, states = drained(spark, folder, "stream_province_stats", monkeypatch)
+    assert sum(r.order_count for r in rows) == sum(r.detail_count for r in rows) == 40
+    assert len(states) == 2     # the join, then the statistics
+    for files in states:
+        assert any(f.endswith(".sst") for f in files) and not any(f.endswith(".changelog") for f in files)
