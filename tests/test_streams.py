@@ -538,3 +538,13 @@ def test_province_stats_write_the_state_of_both_jobs_once(spark, folder, monkeyp
     assert len(states) == 2     # the join, then the statistics
     for files in states:
         assert any(f.endswith(".sst") for f in files) and not any(f.endswith(".changelog") for f in files)
+
+
+def test_payment_join_writes_its_state_once(spark, folder, monkeypatch):
+    """Orders are paid 0 to 19 minutes later, of which 15 are waited for; order 0 at no readable time."""
+    rows, states = drained(spark, folder, "stream_payment_wide", monkeypatch)
+    want = [i for i in range(40) if i % 101 and i % 20 <= 15]
+    assert sorted(r.order_id for r in rows) == want
+    assert {(r.user_id, r.sku_id) for r in rows} == {(i, 8) for i in want}
+    assert len(states) == 1 and any(f.endswith(".sst") for f in states[0])
+    assert not any(f.endswith(".changelog") for f in states[0])
