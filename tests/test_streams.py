@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import entry_queries
 from rows import frame, page, pages, values
@@ -548,3 +549,36 @@ def test_payment_join_writes_its_state_once(spark, folder, monkeypatch):
     assert {(r.user_id, r.sku_id) for r in rows} == {(i, 8) for i in want}
     assert len(states) == 1 and any(f.endswith(".sst") for f in states[0])
     assert not any(f.endswith(".changelog") for f in states[0])
+
+
+def test_product_stats_keep_state_of_the_first_aggregate_only(spark, folder, monkeypatch):
+    """Orders of a window come in one micro-batch, within which they are counted; sums are exact."""
+    entry_sets, drain = [], entry_queries.drain
+
+    def noted(*args, **more):
+        rows = drain(*args, **more)
+        entry_sets.append(os.listdir(f"{rows.removesuffix('rows')}checkpoint/state"))
+        return rows
+
+    monkeypatch.setattr(entry_queries, "drain", noted)
+    got = entry_queries.QUERIES["stream_product_stats"](spark, shop_tables(spark, folder))
+    rows = got.where("order_ct > 0").collect()
+    assert [(r.sku_id, r.order_ct, r.order_sku_num, float(r.order_amount)) for r in rows] == [(8, 40, 80, 200.0)]
+    assert got.schema["order_amount"].dataType == T.DecimalType(18, 2)
+    assert [sorted(s) for s in entry_sets] == [["0"]]       # one operator with state
+
+
+def test_orders_are_counted_within_batches(spark, folder):
+    """Repeated lines, orders in several skus and windows, amounts with cents, late and null ids: what
+    is counted within each micro-batch equals the statistics in batch."""
+    lines = [{"order_id": [None, 1, 1, 2, 3][i % 5], "sku_id": i % 3, "sku_num": i, "create_time": clock(T0 + i * 700),
+              "split_total_amount": [0.1, -0.25, 123456789012.34][i % 3]} for i in range(60)]
+    put_files(folder, "lines", [json.dumps(r) for r in lines + [
+        {"order_id": 9, "sku_id": 1, "sku_num": 1, "create_time": clock(FAR)}]], files=3)
+    topics = Topics(folder, files_per_trigger=1)
+    rows = parse_topic(topics.read(spark, "lines").drop("seq"), schemas.ORDER_WIDE)
+    stream = product_stats.per_order(product_stats.order_measures(rows), delay="1 hour")
+    found = entry_queries.run_stream(stream, "counted", step=product_stats.counted_orders)
+    table = parse_topic(spark.read.text(topics.folder("lines")), schemas.ORDER_WIDE)
+    want = product_stats.window_product_stats(product_stats.order_measures(table)).where("stt < '2022'")
+    assert values(found, *want.columns) == values(want, *want.columns) and found.count() > 3

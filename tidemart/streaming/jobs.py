@@ -264,12 +264,12 @@ class Warehouse:
             self._rows("cart", schemas.CART_INFO), self._rows("order_wide", schemas.ORDER_WIDE),
             self._rows("payment_wide", schemas.PAYMENT_WIDE),
             self._rows("refund", schemas.REFUND_INFO), self._rows("comment", schemas.COMMENT_INFO))
-        stats = product_ops.window_product_stats(measures, self.width, self.lag)
+        orders = product_ops.per_order(measures, self.width, self.lag)
 
         def work(batch: DataFrame, batch_id: int) -> None:
-            rows = product_ops.enrich_product_stats(batch, self._products())
+            rows = product_ops.enrich_product_stats(product_ops.counted_orders(batch), self._products())
             self.summaries.put(rows, SUMMARIES["product"], schemas.PRODUCT_STATS_COLUMNS, batch_id)
-        return self._start(each_batch(stats, work), "product_stats")
+        return self._start(each_batch(orders, work), "product_stats")
 
     def province_stats(self) -> StreamingQuery:
         stats = province_ops.province_stats(self._rows("order_wide", schemas.ORDER_WIDE), self.width,
