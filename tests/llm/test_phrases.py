@@ -4,6 +4,7 @@ import collections
 import re
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tidemart.llm import phrases
@@ -104,3 +105,20 @@ def test_phrases_of_odd_rows(odd, empty, documents):
     assert found(empty) == []
     rows = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in odd.collect()]
     assert found(odd, least=1, share=200) == plain(rows, least=1, share=200)
+
+
+def test_shards_are_written_and_read_one_at_a_time(documents, rows, monkeypatch):
+    """A task's shards stand in row groups of their own, however many it makes."""
+    groups, saved = [], phrases.saved
+
+    def noted(df, name, *args, **more):
+        out = saved(df, name, *args, **more)
+        if name == "shards":
+            for path in out.inputFiles():
+                meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+                groups.append([meta.row_group(i).num_rows for i in range(meta.num_row_groups)])
+        return out
+
+    monkeypatch.setattr(phrases, "saved", noted)
+    assert found(documents(rows).coalesce(1), words=100) == plain(rows)
+    assert sum(map(sum, groups)) > 20 and {n for g in groups for n in g} == {1}

@@ -269,7 +269,7 @@ def phrase_counts(documents: DataFrame, text: str, lang: str, longest: int, leas
                   words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n, length) of all phrases of up to `longest` words that occur `least` times or
     more, and (lang, n) of all words."""
-    indexed = saved(shards(documents, text, lang, longest, words), "shards")
+    indexed = saved(shards(documents, text, lang, longest, words), "shards", at_once=1)
     frequent, levels, total = Frequent(), [], None
     for length in range(1, longest + 1):
         # a shard gives each phrase once: there is nothing to add up before the rows are dealt out
