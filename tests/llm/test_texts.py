@@ -595,3 +595,26 @@ def test_noise_is_drawn_for_all_texts_at_once(tiny, monkeypatch):
     for few, many in zip(found[0], found[2]):
         for a, b in zip(few, many):
             assert a[0].tolist() == b[0].tolist() and a[1:] == pytest.approx(b[1:], rel=1e-9)
+
+
+def test_near_copies_that_met_in_no_group_are_found(spark):
+    """Sets at 0.8 that share neither a band nor a class of fingerprints are linked all the same."""
+    rng = np.random.default_rng(14)
+    sets, want = [], set()
+    for i in range(40):
+        own = rng.integers(0, 1 << 63, 180 + i)
+        gone = len(own) // 9        # of both: 8/9 n over 10/9 n in common
+        near = np.append(own[gone:], rng.integers(0, 1 << 63, gone))
+        far = np.append(own[gone + 3:], rng.integers(0, 1 << 63, gone + 3))
+        same = np.intersect1d(own, near).size
+        assert same / (2 * len(own) - same) >= 0.8 > (len(own) - gone - 3) / (len(own) + gone + 3)
+        want.add((3 * i, 3 * i + 1))
+        sets += [own, near, far]
+    nodes = spark.createDataFrame([(i, [1000 + i], int(rng.integers(0, 1 << 62))) for i in range(len(sets))],
+                                  "node bigint, bands array<bigint>, fp bigint")
+    whole = spark.createDataFrame([(i, sorted(s.tolist())) for i, s in enumerate(sets)],
+                                  "node bigint, shingles array<bigint>")
+    found = {(r["a"], r["b"]) for r in minhash.links(nodes, lambda wanted: whole.join(wanted, "node")).collect()}
+    assert want <= found
+    held = [set(s.tolist()) for s in sets]
+    assert all(len(held[a] & held[b]) / len(held[a] | held[b]) >= 0.8 for a, b in found)
